@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from . import metrics as mt
 
+# Rows a training task should at least hold; small data sets are read by fewer tasks.
+TASK_ROWS = 20_000
+
 # A linear model keeps one weight per word on the driver, so its vocabulary is bounded
 # by memory there. A larger one is refused, never cut.
 VOCABULARY = 1 << 20
@@ -36,7 +39,7 @@ def fit_logistic(
     balanced: bool = True,
     weight: str | None = None,
     max_iter: int = 1000,
-    tol: float = 1e-9,
+    tol: float = 1e-6,
 ):
     """L2-regularised logistic regression with unit penalty on the summed loss.
 
@@ -46,7 +49,8 @@ def fit_logistic(
     base = F.col(weight).cast("double") if weight else F.lit(1.0)
     w = balanced_weight(df, label, weight) if balanced else base
     data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"), w.alias("_w"))
-    total = data.agg(F.sum("_w")).first()[0]
+    total, n = data.agg(F.sum("_w"), F.count("*")).first()
+    data = data.coalesce(max(1, n // TASK_ROWS))
     return LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="_w",
         regParam=1.0 / total, elasticNetParam=0.0, standardization=False,
@@ -103,7 +107,7 @@ class TextClassifier:
 
     def fit(self, df: DataFrame, text: str, label: str) -> "TextClassifier":
         self.fit_vectors(df, text)
-        self.model = fit_logistic(self.vectorize(df, text), "features", label, balanced=False)
+        self.model = fit_logistic(self.vectorize(df, text), "features", label, balanced=False, tol=1e-5)
         return self
 
     def fit_lists(self, spark, lines: list[str], labels: list[bool]) -> "TextClassifier":
@@ -218,6 +222,7 @@ def compare_models(
     """Probabilities of the linear model and the network, side by side per row."""
     linear = TextClassifier(min_df=min_df).fit(df, text, label)
     vec = linear.vectorize(df, text).select(row_id, label, "features").cache()
+    vec = vec.coalesce(max(1, vec.count() // TASK_ROWS))
     network = fit_network(vec, "features", label, len(linear.vectorizer.stages[0].vocabulary), seed)
     a = linear.model.transform(vec).select(row_id, label, "features", positive().alias("p_linear"))
     out = network.transform(a).select(row_id, label, "p_linear", positive().alias("p_network"))
