@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # The characters Python treats as white space.
 WS = (
     r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
@@ -85,17 +87,11 @@ def is_missing(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """White-space separated words; an empty text has none."""
-    flat = collapse(text)
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(
-        F.split(flat, " ")
-    )
+    return F.filter(F.split(text, f"{WS}+"), lambda w: w != "")
 
 
 def n_words(text: Column) -> Column:
-    flat = collapse(text)
-    return F.when(flat == "", F.lit(0)).otherwise(
-        F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1
-    )
+    return F.size(words(text))
 
 
 def years_before(text: Column, unit: str = "ans") -> Column:
@@ -123,17 +119,17 @@ def tokens(text: Column) -> Column:
 
 
 def bigrams(toks: Column) -> Column:
-    n = F.size(toks)
-    pairs = F.zip_with(
-        F.slice(toks, 1, F.greatest(n - 1, F.lit(0))),
-        F.slice(toks, 2, F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    )
-    return F.when(n > 1, pairs).otherwise(F.array().cast("array<string>"))
+    def pairs(t: Column) -> Column:
+        n = F.greatest(F.size(t) - 1, F.lit(0))
+        return F.zip_with(
+            F.slice(t, 1, n), F.slice(t, 2, n), lambda a, b: F.concat_ws(" ", a, b)
+        )
+
+    return let(toks, pairs)
 
 
 def ngrams_1_2(toks: Column) -> Column:
-    return F.concat(toks, bigrams(toks))
+    return let(toks, lambda t: F.concat(t, bigrams(t)))
 
 
 def chunks(text: Column, max_words: int = 40, overlap: int = 10) -> Column:
@@ -141,14 +137,17 @@ def chunks(text: Column, max_words: int = 40, overlap: int = 10) -> Column:
     if not 0 <= overlap < max_words:
         raise ValueError("overlap must be at least 0 and below max_words")
     step = max_words - overlap
-    w = words(text)
-    n = F.size(w)
-    last = F.ceil((n - max_words) / F.lit(step)).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.array_join(F.slice(w, i * step + 1, max_words), " "),
-    )
-    return F.when(n <= max_words, F.array(text)).otherwise(windows)
+
+    def windows(w: Column) -> Column:
+        n = F.size(w)
+        last = F.ceil((n - max_words) / F.lit(step)).cast("int")
+        cut = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda i: F.array_join(F.slice(w, i * step + 1, max_words), " "),
+        )
+        return F.when(n <= max_words, F.array(text)).otherwise(cut)
+
+    return let(words(text), windows)
 
 
 def pretokens(text: Column) -> Column:

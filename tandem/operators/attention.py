@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import computed
 from ..plans.skew import lookup
 from ..plans.staging import stage_table
 
@@ -114,12 +115,11 @@ def self_attention(
             F.transform(s["_acc"], lambda a: a * F.exp(s["_m"] - F.col("_top"))).alias("a"),
         ),
     )
-    z = F.aggregate(scaled, F.lit(0.0), lambda acc, s: acc + s["z"])
+    merged = computed(merged, {"_s": scaled})
+    z = F.aggregate("_s", F.lit(0.0), lambda acc, s: acc + s["z"])
     total = F.aggregate(
-        F.slice(scaled, 2, F.size("_l")),
-        scaled[0]["a"],
+        F.slice("_s", 2, F.size("_s")),
+        F.col("_s")[0]["a"],
         lambda acc, s: F.zip_with(acc, s["a"], lambda x, y: x + y),
     )
-    return merged.select(
-        seq, pos, z.alias("_z"), total.alias("_a")
-    ).select(seq, pos, F.transform("_a", lambda x: x / F.col("_z")).alias("output"))
+    return computed(merged.select(seq, pos, "_s"), {"_z": z, "_a": total}).select(seq, pos, F.transform("_a", lambda x: x / F.col("_z")).alias("output"))

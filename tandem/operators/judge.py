@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import computed
 from ..functions.privacy import SAFETY_PATTERNS
 from ..functions.strict_json import verdict
 from ..functions.text import n_words
@@ -75,18 +76,20 @@ def double_pass(first: Column, second: Column) -> Column:
 
 def judge_pairs(duels: DataFrame) -> DataFrame:
     """Rubric verdict of ``duels(duel_id, skills, letter_a, letter_b)`` in two passes."""
-    scored = duels.withColumns(
+    scored = computed(
+        duels,
         {
             "score_a": rubric_score(F.col("skills"), F.col("letter_a")),
             "score_b": rubric_score(F.col("skills"), F.col("letter_b")),
-        }
+        },
     )
     a, b = F.col("score_a"), F.col("score_b")
-    return scored.withColumns(
+    return computed(
+        scored,
         {
             "first": verdict(heuristic_verdict(a, b)),
             "second": verdict(heuristic_verdict(b, a)),
-        }
+        },
     ).withColumn("winner", double_pass(F.col("first"), F.col("second")))
 
 
@@ -95,9 +98,10 @@ def both_passes(
 ) -> DataFrame:
     """Run any judge, a Column-to-Column function over prompts, in both orders."""
     s, a, b = F.col(skills), F.col(letter_a), F.col(letter_b)
-    return prompts.withColumns(
+    return computed(
+        prompts,
         {
             "first": verdict(judge(judge_prompt(s, a, b))),
             "second": verdict(judge(judge_prompt(s, b, a))),
-        }
+        },
     ).withColumn("winner", double_pass(F.col("first"), F.col("second")))
