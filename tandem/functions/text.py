@@ -82,7 +82,9 @@ def casefold(text: Column) -> Column:
 
 
 def is_missing(text: Column) -> Column:
-    return text.isNull() | F.lower(strip(text)).isin(*MISSING_MARKERS)
+    """NULL, or nothing but a marker between white space; fails at the first letter."""
+    marks = "|".join(m for m in MISSING_MARKERS if m)
+    return text.isNull() | text.rlike(f"(?i)^{WS}*(?:{marks})?{WS}*$")
 
 
 def words(text: Column) -> Column:

@@ -56,7 +56,7 @@ def salted_join(
     copies = F.when(
         F.col(key).isin(heavy), F.sequence(F.lit(0), F.lit(salts - 1))
     ).otherwise(F.array(F.lit(0)))
-    right = table.withColumn("_salt", F.explode(copies).cast("bigint"))
+    right = table.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 

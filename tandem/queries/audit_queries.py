@@ -11,7 +11,7 @@ from ..operators import matching as mc
 from ..operators import metrics as mt
 from ..operators import registry as rg
 from ..operators.attention import group_softmax, self_attention
-from ..sources.tables import table
+from ..sources.tables import documents, table
 from ..streaming.drift import day_window
 from .base import LABELLED_SQL, MATCH_CTE, NOT_WORD, PAIR_SQL, labelled, query, r6, sql_collapse
 from .match_queries import scored_pairs
@@ -145,7 +145,7 @@ _MARK_RE = f"(^|{NOT_WORD}){MARKER}({NOT_WORD}|$)"
 )
 def proxy_marker(spark, sf):
     return (
-        table(spark, sf, "documents", "lang", "text")
+        documents(spark, sf, "lang", "text")
         .groupBy("lang")
         .agg(
             F.count("*").alias("n"),
@@ -162,7 +162,7 @@ _once = lambda x: f"regexp_replace({x}, '{_MARK_RE}', '\\1 \\2', 'g')"
     f"SELECT doc_id, {sql_collapse(_once(_once('lower(text)')))} AS text FROM documents",
 )
 def neutralize(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = documents(spark, sf, "doc_id", "text")
     return docs.select("doc_id", mt.neutralize(F.lower("text"), MARKER).alias("text"))
 
 
@@ -342,7 +342,7 @@ _GATE_SAFETY_SQL = f"""SELECT 'safety_gate' AS name, first IS NULL AS passed,
 
 @query("safety_gate", _GATE_SAFETY_SQL)
 def safety_gate(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = documents(spark, sf, "doc_id", "text")
     return gt.safety_gate(docs, "doc_id", declared=False)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..sources.tables import table
+from ..sources.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,7 +80,7 @@ LABELLED_SQL = """(SELECT d.doc_id, d.text, d.lang, d.n_chars, l.quality = 1 AS
 
 def labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Documents that carry labels; columns are pruned at the scan."""
-    docs = table(spark, sf, "documents", "doc_id", *columns)
+    docs = documents(spark, sf, "doc_id", *columns)
     labels = table(spark, sf, "labels").select(
         "doc_id",
         (F.col("quality") == 1).alias("label"),

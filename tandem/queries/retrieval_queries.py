@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import retrieval as rt
 from ..plans.sizing import fits_broadcast
-from ..sources.tables import table
+from ..sources.tables import documents, table
 from .base import query, r6, sql_tokens
 
 K = 10
@@ -43,7 +43,7 @@ topk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id
 
 
 def corpus(spark, sf):
-    docs = table(spark, sf, "documents", "doc_id", "source", "text")
+    docs = documents(spark, sf, "doc_id", "source", "text")
     return rt.corpus(docs, "source", "text").withColumnRenamed("source", "title")
 
 
@@ -93,7 +93,7 @@ def gold(spark, sf):
         "query",
         F.explode(F.array_distinct(F.slice("_t", 2, F.size("_t") - 2))).alias("term"),
     )
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = documents(spark, sf, "doc_id", "text")
     df = rt.document_frequency(docs)
     anchor = (
         inner.join(df, "term", "left")
