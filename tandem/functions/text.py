@@ -57,11 +57,6 @@ def nfc(text: Column) -> Column:
     return F.coalesce(_nfc_udf()(gated), text)
 
 
-def strip(text: Column) -> Column:
-    """Remove Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
-
-
 def collapse(text: Column) -> Column:
     """Turn each run of white space into one space and strip the ends."""
     return F.trim(F.regexp_replace(text, f"{WS}+", " "))

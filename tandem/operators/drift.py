@@ -45,8 +45,14 @@ def quantile_edges(
         F.count("*").alias("n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-        F.percentile_approx("_v", at([q - eps for q in probes]), SKETCH).alias("_lo"),
-        F.percentile_approx("_v", at([q + eps for q in probes]), SKETCH).alias("_hi"),
+        F.percentile_approx(
+            "_v", at([q - eps for q in probes] + [q + eps for q in probes]), SKETCH
+        ).alias("_q"),
+    ).withColumns(
+        {
+            "_lo": F.slice("_q", 1, len(probes)),
+            "_hi": F.slice("_q", len(probes) + 1, len(probes)),
+        }
     )
     # A bracket must also hold the next order statistic, which in a short column may
     # lie further away than the sketch error: there it is the whole range.

@@ -11,7 +11,8 @@ from ..operators import matching as mc
 from ..operators import metrics as mt
 from ..operators import registry as rg
 from ..operators.attention import group_softmax, self_attention
-from ..sources.tables import documents, table
+from ..plans.staging import stage_table
+from ..sources.tables import documents, spread, table
 from ..streaming.drift import day_window
 from .base import LABELLED_SQL, MATCH_CTE, NOT_WORD, PAIR_SQL, labelled, query, r6, sql_collapse
 from .match_queries import scored_pairs
@@ -205,7 +206,7 @@ _STATUS = """CASE WHEN psi >= 0.2 THEN 'ALERTE' WHEN psi >= 0.1 THEN 'A SURVEILL
 
 
 def _wide(spark, sf):
-    ev = table(spark, sf, "events", "ts", "value", "user_id", "props")
+    ev = spread(table(spark, sf, "events", "ts", "value", "user_id", "props"))
     return ev.select(
         "ts",
         "value",
@@ -216,8 +217,12 @@ def _wide(spark, sf):
 
 
 def drift_samples(spark, sf):
-    """Reference and production rows in long form, one production feature shifted."""
-    wide = _wide(spark, sf).withColumn("value_shifted", F.col("value"))
+    """Reference and production rows in long form, one production feature shifted.
+
+    The JSON is parsed once into a staged table of numbers, which the passes over the
+    features then read column by column.
+    """
+    wide = stage_table(_wide(spark, sf), "events-wide").withColumn("value_shifted", F.col("value"))
     cut = F.lit(CUT).cast("timestamp_ntz")
     names = [*FEATURES, "value_shifted"]
     ref = dr.unpivot(wide.where(F.col("ts") < cut), ["ts"], names)

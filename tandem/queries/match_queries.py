@@ -124,7 +124,9 @@ def request_rows(spark, sf):
         )
     )
     tail = F.when(F.col("c_nationkey") == 7, F.lit(" merci")).otherwise(F.lit(""))
-    return rows.select(
+    # Parsing costs far more than the few bytes of a row suggest to adaptive execution.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n).select(
         F.concat_ws("/", F.col("profile_id").cast("string"), "offer_id").alias("request_id"),
         F.concat(body, tail).alias("raw"),
     )

@@ -81,11 +81,12 @@ gold AS (SELECT q.query_id, c.doc_id AS expected FROM q CROSS JOIN documents c
 """
 
 
-def gold(spark, sf):
+def gold(spark, sf, df):
     """Documents that hold a query text word for word.
 
     Each query is looked up by its rarest inner token, which any such document must
-    contain, and only those documents are compared in full.
+    contain, and only those documents are compared in full. ``df(term, df)`` tells
+    how rare a token is.
     """
     q = queries(spark, sf).withColumn("_t", tx.tokens(F.col("query")))
     inner = q.where(F.size("_t") > 2).select(
@@ -94,9 +95,8 @@ def gold(spark, sf):
         F.explode(F.array_distinct(F.slice("_t", 2, F.size("_t") - 2))).alias("term"),
     )
     docs = documents(spark, sf, "doc_id", "text")
-    df = rt.document_frequency(docs)
     anchor = (
-        inner.join(df, "term", "left")
+        inner.join(df.select("term", "df"), "term", "left")
         .groupBy("query_id")
         .agg(
             F.min_by("term", F.struct(F.coalesce("df", F.lit(0)), F.col("term"))).alias("term"),
@@ -104,10 +104,11 @@ def gold(spark, sf):
         )
     )
     tokens = docs.select(
-        "doc_id", "text", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term")
+        "doc_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term")
     )
     anchor = F.broadcast(anchor) if fits_broadcast(q, 100_000) else anchor
-    return tokens.join(anchor, "term").where(F.contains("text", "query")).select(
+    candidates = tokens.join(anchor, "term").select("doc_id", "query_id", "query")
+    return candidates.join(docs, "doc_id").where(F.contains("text", "query")).select(
         "query_id", F.col("doc_id").alias("expected")
     )
 
@@ -122,7 +123,9 @@ def gold(spark, sf):
     FROM best, (SELECT unnest([1, 3, 5, {K}]) AS k) GROUP BY k""",
 )
 def recall_at_k(spark, sf):
-    out = rt.recall_at_k(ranked(spark, sf, K), gold(spark, sf), (1, 3, 5, K))
+    index = rt.build_index(corpus(spark, sf))
+    top = rt.retrieve(index, queries(spark, sf), K)
+    out = rt.recall_at_k(top, gold(spark, sf, index.idf), (1, 3, 5, K))
     return out.select("k", r6("recall"))
 
 
