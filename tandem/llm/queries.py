@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import quality, simhash
+from pyspark.sql import functions as F
+
+from . import decontaminate, quality, secret_scan, simhash
 from .tables import table
 
 QUERIES: dict = {}
@@ -29,3 +31,78 @@ def op7_quality_rules(spark, sf):
 @query("op9_simhash")
 def op9_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents", "doc_id", "text"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _sql_words(column: str) -> str:
+    folded = f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+    return f"regexp_extract_all({folded}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op2_decontaminate",
+    f"""WITH d AS (SELECT doc_id, {_sql_words("text")} AS w FROM documents),
+    b AS (SELECT item_id, {_sql_words("text")} AS w FROM benchmark),
+    sized AS (SELECT *, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS win
+      FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM sized)),
+    places AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS win
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+    hits AS (SELECT doc_id, item_id, s, n FROM places JOIN windows USING (n, win)),
+    marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+    listed AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+      coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+)
+def op2_decontaminate(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf, "benchmark"))
+    return decontaminate.judged(found).drop("row", "items")
+
+
+def _sql_spans(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, source, lang, {rank} AS rank, '{kind}' AS kind, value,
+        pos - length(whole) AS a, pos AS b FROM (
+      SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id ORDER BY i) AS pos
+      FROM (SELECT doc_id, source, lang, i, g[i] AS gap, w[i] AS whole, v[i] AS value
+        FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM (
+          SELECT doc_id, source, lang, regexp_split_to_array(text, '{p}') AS g,
+            regexp_extract_all(text, '{p}', 0) AS w, regexp_extract_all(text, '{p}', {group}) AS v
+          FROM documents)))) WHERE length(value) >= {least}"""
+
+
+_ALL_KINDS = enumerate(secret_scan.BASE + secret_scan.ADDED)
+_SQL_SPANS = " UNION ALL ".join(_sql_spans(i, *k) for i, k in _ALL_KINDS)
+_SPAN_LIST = "string_agg(kind || ':' || a::BIGINT || ':' || b::BIGINT, ',' ORDER BY a, rank)"
+
+
+@query(
+    "op5_secret_scan",
+    f"""WITH s AS ({_SQL_SPANS}),
+    owners AS (SELECT value, count(DISTINCT source) AS n_owners FROM s GROUP BY value),
+    judged AS (SELECT s.*, n_owners, n_owners <= {secret_scan.MAX_OWNERS} AND
+      len(list_distinct(string_split(value, ''))) >= {secret_scan.MIN_CHARACTERS} AS live
+      FROM s JOIN owners USING (value)),
+    per AS (SELECT doc_id, count_if(rank = 0) AS n_assign, count_if(rank = 1) AS n_access,
+      count_if(rank = 2) AS n_hex, {_SPAN_LIST} FILTER (rank < 3) AS base,
+      {_SPAN_LIST} FILTER (rank < 3 OR live) AS spans, count_if(live) AS n_live,
+      count_if(n_owners > {secret_scan.MAX_OWNERS}) AS n_copied
+      FROM judged GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign,
+      coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+      coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied
+    FROM documents LEFT JOIN per USING (doc_id)""",
+)
+def op5_secret_scan(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    repo = F.concat_ws("/", "source", "lang")
+    return secret_scan.secret_scan(docs, "doc_id", "text", F.col("source"), repo)
