@@ -8,8 +8,10 @@ of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tandem.llm import quality, simhash
+from tandem.llm import decontaminate, packing, quality, secret_scan, simhash
+from tandem.llm.queries import tokenizer_path
 from tandem.plans.staging import stage_table
 from tandem.sources.tables import table
 
@@ -24,12 +26,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_first(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark items."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts masked."""
+    return secret_scan.mask_secrets(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens in sequences."""
+    return packing.packed(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_masking),
+    ("packing", sequence_packing),
 ]
 
-#: The forest and the hash of the fingerprints have no SQL form; tests use brute force.
+#: The forest, the fingerprints and the packing have no SQL form; tests use brute force.
 ORACLE_SQL = None
 
 

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, secret_scan, simhash
+from . import decontaminate, packing, quality, secret_scan, simhash, token_counts
 from .tables import table
 
+#: The vocabulary file that the token queries read, on all machines at the same place.
+TOKENIZER_FILE = "byte_bpe_50k.json"
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER_FILE))
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -106,3 +115,14 @@ def op5_secret_scan(spark, sf):
     docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
     repo = F.concat_ws("/", "source", "lang")
     return secret_scan.secret_scan(docs, "doc_id", "text", F.col("source"), repo)
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path())
+
+
+@query("op8_packing")
+def op8_packing(spark, sf):
+    return packing.packed(table(spark, sf, "documents", "doc_id", "text"), tokenizer_path())
