@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secret_scan, simhash, token_counts
+from . import (
+    decontaminate, langid, licenses, packing, quality, secret_scan, simhash, token_counts,
+)
 from .tables import table
 
 #: The vocabulary file that the token queries read, on all machines at the same place.
@@ -126,3 +128,32 @@ def op3_token_counts(spark, sf):
 @query("op8_packing")
 def op8_packing(spark, sf):
     return packing.packed(table(spark, sf, "documents", "doc_id", "text"), tokenizer_path())
+
+
+def document_path():
+    """Invented paths, as the documents have none: a third of them lie under the source, a
+    third under its language, a third in folders of a thousand ids below that."""
+    depth = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3))
+    folder = F.floor(F.col("doc_id") / 1000).cast("string")
+    return F.concat_ws(
+        "/", "source", F.when(depth >= 1, F.col("lang")), F.when(depth == 2, folder),
+        F.col("doc_id").cast("string"),
+    )
+
+
+#: A text of at most so many characters that has a notice counts as a licence file.
+LICENSE_FILE_CHARS = 600
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark, sf):
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    return licenses.license_scan(
+        docs, F.col("doc_id"), F.col("text"), document_path(),
+        F.length("text") <= LICENSE_FILE_CHARS,
+    )
+
+
+@query("op10_langid")
+def op10_langid(spark, sf):
+    return langid.identify(table(spark, sf, "documents", "doc_id", "text", "lang"))
