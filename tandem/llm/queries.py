@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, langid, licenses, packing, quality, secret_scan, simhash, token_counts,
+    decontaminate, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
 )
 from .tables import table
 
@@ -157,3 +157,8 @@ def op1_license_scan(spark, sf):
 @query("op10_langid")
 def op10_langid(spark, sf):
     return langid.identify(table(spark, sf, "documents", "doc_id", "text", "lang"))
+
+
+@query("op4_ngram_lm")
+def op4_ngram_lm(spark, sf):
+    return ngram_lm.lm_scores(table(spark, sf, "documents", "doc_id", "text"))
