@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
+    url_filter,
 )
 from .tables import table
 
@@ -162,3 +163,8 @@ def op10_langid(spark, sf):
 @query("op4_ngram_lm")
 def op4_ngram_lm(spark, sf):
     return ngram_lm.lm_scores(table(spark, sf, "documents", "doc_id", "text"))
+
+
+@query("op6_url_filter")
+def op6_url_filter(spark, sf):
+    return url_filter.filter_urls(table(spark, sf, "pages", "page_id", "url", "html"))
