@@ -26,6 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.skew import heavy_keys, salted_join
 from .tables import stage_table
 
 # The usual short notices of well-known licences, by SPDX identifier.
@@ -197,7 +198,8 @@ def inherit(found: DataFrame) -> DataFrame:
     own = F.col("license").isNotNull()
     # Rows without directory keep one that no row has, spread over the tasks.
     keyed = found.withColumn("dir", F.coalesce("dir", F.concat(F.lit("\0"), "row")))
-    return keyed.join(nearest, "dir", "left").select(
+    heavy = heavy_keys(found.where("dir is not null").groupBy("dir").agg(F.count("*").alias("n")), "dir", "n")
+    return salted_join(keyed, nearest, "dir", heavy, F.col("row"), "left").select(
         "row", "doc_id",
         F.coalesce("license", "given").alias("license"),
         F.when(own, F.col("score")).alias("score"),
