@@ -47,7 +47,9 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0"),
     ("CC-BY-SA-4.0", "This work is licensed under CC BY-SA 4.0"),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0"),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     (
         "GPL-3.0",
