@@ -222,8 +222,8 @@ def drift_report(
 
 def worst(report: DataFrame, feature: str = "feature") -> DataFrame:
     """The feature that drifts most; ties go to the first name."""
-    best = F.max_by(
+    best = F.min_by(
         F.struct(feature, "psi", "status"),
-        F.struct(F.col("psi"), F.col("status")),
+        F.struct((-F.col("psi")).alias("p"), F.col(feature).alias("f")),
     )
     return report.agg(best.alias("_w")).select("_w.*")

@@ -73,7 +73,7 @@ def threshold_sweep(
     )
 
 
-def majority_baseline(df: DataFrame, label: str, by: list[str] = ()) -> DataFrame:
+def majority_baseline(df: DataFrame, label: str) -> DataFrame:
     """Metrics of a model that always answers the most frequent label."""
     n, pos = F.col("_n"), F.col("_pos")
     c = df.agg(F.count("*").alias("_n"), F.count_if(F.col(label)).alias("_pos"))

@@ -27,13 +27,15 @@ def fingerprint(df: DataFrame, row_id: str, columns: list[str], by: list[str] =
     the shuffle, so no task holds the row hashes. Any change of a value, of a row or
     of a row's id changes the result; the physical order of rows does not.
     """
+    # Each value is hashed by itself, so that no value can look like two or like a null.
     shown = [
-        F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in [row_id, *columns]
+        F.coalesce(F.sha2(F.col(c).cast("string").cast("binary"), 256), F.lit("-"))
+        for c in [row_id, *columns]
     ]
-    rows = df.select(*by, F.sha2(F.concat_ws("\x1f", *shown), 256).alias("_h"))
+    rows = df.select(*by, F.sha2(F.concat_ws(",", *shown), 256).alias("_h"))
     lane = lambda i: F.conv(
         F.substring("_h", 1 + i * _LANE_HEX, _LANE_HEX), 16, 10
-    ).cast("decimal(20,0)")
+    ).cast("decimal(28,0)")
     sums = [F.sum(lane(i)).cast("string").alias(f"_s{i}") for i in range(_LANES)]
     grouped = rows.groupBy(*by) if by else rows.groupBy()
     out = grouped.agg(F.count("*").alias("n_rows"), *sums)
@@ -90,7 +92,9 @@ class Registry:
     def _table(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     @property

@@ -370,7 +370,8 @@ _LANES_SQL = ", ".join(
 _FINGERPRINT_SQL = f"""(SELECT n AS n_rows,
     sha256(concat_ws('|', n::VARCHAR, s0, s1, s2, s3)) AS dataset_hash
   FROM (SELECT count(*) AS n, {_LANES_SQL} FROM (
-    SELECT sha256(concat_ws(chr(31), doc_id::VARCHAR, quality::VARCHAR, toxic::VARCHAR)) AS h
+    SELECT sha256(concat_ws(',', coalesce(sha256(doc_id::VARCHAR), '-'),
+      coalesce(sha256(quality::VARCHAR), '-'), coalesce(sha256(toxic::VARCHAR), '-'))) AS h
     FROM labels)))"""
 
 

@@ -94,15 +94,14 @@ def labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 MATCH_CTE = """
 bought AS (
   SELECT o_custkey, o_orderkey, p_brand, p_type, p_size
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE l_returnflag = 'R'),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 profiles AS (
   SELECT o_custkey AS profile_id, list_sort(list(DISTINCT p_brand)) AS skills,
          count(DISTINCT o_orderkey)::INT AS years
   FROM bought GROUP BY o_custkey),
 offers AS (
   SELECT p_type || '|' || p_size AS offer_id,
-         list_sort(list(DISTINCT p_brand))[1:5] AS required, p_size % 9 AS min_years
+         list_sort(list(DISTINCT p_brand)) AS required, p_size % 9 AS min_years
   FROM part GROUP BY p_type, p_size),
 applications AS (
   SELECT DISTINCT o_custkey AS profile_id, p_type || '|' || p_size AS offer_id FROM bought)
@@ -116,11 +115,7 @@ len(list_intersect(skills, required)) / len(required)::DOUBLE AS coverage,
 
 
 def bought(spark: SparkSession, sf: str) -> DataFrame:
-    items = (
-        table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_returnflag")
-        .where("l_returnflag = 'R'")
-        .drop("l_returnflag")
-    )
+    items = table(spark, sf, "lineitem", "l_orderkey", "l_partkey")
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     part = table(spark, sf, "part", "p_partkey", "p_brand", "p_type", "p_size")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
@@ -149,11 +144,11 @@ def _offer_id():
 
 
 def offers(spark: SparkSession, sf: str) -> DataFrame:
-    """An offer per part type and size; it requires the first five brands."""
+    """An offer per part type and size; it requires the brands of its parts."""
     return (
         table(spark, sf, "part", "p_type", "p_size", "p_brand")
         .groupBy("p_type", "p_size")
-        .agg(F.slice(F.array_sort(F.collect_set("p_brand")), 1, 5).alias("required"))
+        .agg(F.array_sort(F.collect_set("p_brand")).alias("required"))
         .select(
             _offer_id().alias("offer_id"),
             "required",

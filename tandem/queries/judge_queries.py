@@ -45,7 +45,7 @@ def judge_parse(spark, sf):
 _DUELS_CTE = f"""
 t AS (SELECT conv_id, turn, role, text FROM conversations),
 duels AS (SELECT a.conv_id || '/' || a.turn AS duel_id,
-    list_sort(list_distinct(regexp_extract_all(lower(u.text), '{WORD}{{4,}}')))[1:5] AS skills,
+    list_sort(list_distinct(regexp_extract_all(lower(u.text), '{WORD}{{4,}}'))) AS skills,
     a.text AS letter_a, b.text AS letter_b
   FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 2
   JOIN t u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1
@@ -74,7 +74,7 @@ def duels(spark, sf):
     u = t.where("role = 'user'").select(
         "conv_id",
         (F.col("turn") + 1).alias("turn"),
-        F.slice(F.array_sort(F.array_distinct(words)), 1, 5).alias("skills"),
+        F.array_sort(F.array_distinct(words)).alias("skills"),
     )
     return a.join(b, ["conv_id", "turn"]).join(u, ["conv_id", "turn"]).select(
         F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("duel_id"),
