@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, VectorAssembler
@@ -11,14 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..plans.staging import stage_table
 from . import metrics as mt
 
-# Rows a training task should at least hold; small data sets are read by fewer tasks.
-TASK_ROWS = 20_000
-
-# A linear model keeps one weight per word on the driver, so its vocabulary is bounded
-# by memory there. A larger one is refused, never cut.
-VOCABULARY = 1 << 20
+# Labelled rows that the text models are fitted on; the vocabulary, which the driver
+# holds, is bounded with them and is never cut.
+TRAIN_ROWS = 200_000
+_NO_CUT = 2**31 - 1
 
 
 def balanced_weight(df: DataFrame, label: str, weight: str | None = None) -> Column:
@@ -49,13 +50,24 @@ def fit_logistic(
     base = F.col(weight).cast("double") if weight else F.lit(1.0)
     w = balanced_weight(df, label, weight) if balanced else base
     data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"), w.alias("_w"))
-    total, n = data.agg(F.sum("_w"), F.count("*")).first()
-    data = data.coalesce(max(1, n // TASK_ROWS))
-    return LogisticRegression(
+    total = data.agg(F.sum("_w")).first()[0]
+    model = LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="_w",
         regParam=1.0 / total, elasticNetParam=0.0, standardization=False,
         maxIter=max_iter, tol=tol,
     ).fit(data)
+    if model.summary.totalIterations >= max_iter:
+        warnings.warn(f"logistic regression stopped after {max_iter} iterations")
+    return model
+
+
+def training_sample(df: DataFrame, text: str, max_rows: int = TRAIN_ROWS) -> DataFrame:
+    """All rows if there are at most ``max_rows``, else about that many, chosen by a hash
+    of the text; equal texts are kept or left together."""
+    n = df.count()
+    if n <= max_rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(text), F.lit(n)) < max_rows)
 
 
 def assemble(df: DataFrame, columns, output: str = "features") -> DataFrame:
@@ -67,12 +79,9 @@ def positive(model_output: str = "probability") -> Column:
 
 
 def _vocabulary(terms: DataFrame, column: str, min_df: float):
-    model = CountVectorizer(
-        inputCol=column, outputCol="_tf", vocabSize=VOCABULARY, minDF=min_df
+    return CountVectorizer(
+        inputCol=column, outputCol="_tf", vocabSize=_NO_CUT, minDF=min_df
     ).fit(terms)
-    if len(model.vocabulary) >= VOCABULARY:
-        raise ValueError("vocabulary exceeds the size a linear model can hold")
-    return model
 
 
 class TextClassifier:
@@ -106,6 +115,7 @@ class TextClassifier:
         return self
 
     def fit(self, df: DataFrame, text: str, label: str) -> "TextClassifier":
+        df = training_sample(df, text)
         self.fit_vectors(df, text)
         self.model = fit_logistic(self.vectorize(df, text), "features", label, balanced=False, tol=1e-5)
         return self
@@ -136,9 +146,10 @@ class WordModel:
     training and in use; the neutralised model passes ``metrics.neutralize``.
     """
 
-    def __init__(self, prepare=None, min_df: float = 1.0) -> None:
+    def __init__(self, prepare=None, min_df: float = 1.0, max_iter: int = 1000) -> None:
         self.prepare = prepare
         self.min_df = min_df
+        self.max_iter = max_iter
         self.counter = None
         self.model = None
 
@@ -147,9 +158,11 @@ class WordModel:
         return df.withColumn("_terms", tx.tokens(self.prepare(t) if self.prepare else t))
 
     def fit(self, df: DataFrame, text: str, label: str) -> "WordModel":
-        terms = self._terms(df, text)
+        terms = self._terms(training_sample(df, text), text)
         self.counter = _vocabulary(terms, "_terms", self.min_df)
-        self.model = fit_logistic(self.counter.transform(terms), "_tf", label)
+        self.model = fit_logistic(
+            self.counter.transform(terms), "_tf", label, max_iter=self.max_iter
+        )
         return self
 
     def transform(self, df: DataFrame, text: str = "text", score: str = "score") -> DataFrame:
@@ -221,9 +234,9 @@ def compare_models(
 ) -> DataFrame:
     """Probabilities of the linear model and the network, side by side per row."""
     linear = TextClassifier(min_df=min_df).fit(df, text, label)
-    vec = linear.vectorize(df, text).select(row_id, label, "features").cache()
-    vec = vec.coalesce(max(1, vec.count() // TASK_ROWS))
-    network = fit_network(vec, "features", label, len(linear.vectorizer.stages[0].vocabulary), seed)
+    vec = stage_table(linear.vectorize(df, text).select(row_id, label, text, "features"), "vectors")
+    width = len(linear.vectorizer.stages[0].vocabulary)
+    network = fit_network(training_sample(vec, text), "features", label, width, seed)
     a = linear.model.transform(vec).select(row_id, label, "features", positive().alias("p_linear"))
     out = network.transform(a).select(row_id, label, "p_linear", positive().alias("p_network"))
     return out

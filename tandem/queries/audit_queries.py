@@ -14,7 +14,7 @@ from ..operators.attention import group_softmax, self_attention
 from ..plans.staging import stage_table
 from ..sources.tables import documents, spread, table
 from ..streaming.drift import day_window
-from .base import LABELLED_SQL, MATCH_CTE, NOT_WORD, PAIR_SQL, labelled, query, r6, sql_collapse
+from .base import LABELLED_SQL, LISTED_SQL, MATCH_CTE, NOT_WORD, labelled, query, r6, sql_collapse
 from .match_queries import scored_pairs
 from .privacy_queries import LEAKS_SQL
 
@@ -297,9 +297,7 @@ _GATE_DATA_SQL = f"""SELECT 'data_gate' AS name,
       ELSE n || ' lignes, ' || printf('%.1f', rate * 100) || '% de positifs' END AS reason
   FROM (SELECT count(*) AS n, avg(y::INT) AS rate, count(*) FILTER (coverage IS NULL OR
       missing IS NULL OR margin IS NULL OR width IS NULL) AS holes
-    FROM (SELECT *, coalesce(coverage >= 0.6 AND margin >= 0, false) AS y FROM (
-      SELECT {PAIR_SQL} FROM applications a JOIN profiles p ON a.profile_id = p.profile_id
-      JOIN offers o ON a.offer_id = o.offer_id)))"""
+    FROM (SELECT *, coalesce(coverage >= 0.6 AND margin >= 0, false) AS y FROM {LISTED_SQL}))"""
 
 
 @query("data_gate", f"WITH {MATCH_CTE} {_GATE_DATA_SQL}")
@@ -496,9 +494,9 @@ SEQ = 32
     s AS (SELECT a.seq_id, a.pos, b.v AS v, list_dot_product(a.v, b.v) * 8 / sqrt(64) AS s
       FROM e a JOIN e b ON a.seq_id = b.seq_id),
     w AS (SELECT seq_id, pos, v, exp(s - max(s) OVER (PARTITION BY seq_id, pos)) AS w FROM s),
-    o AS (SELECT seq_id, pos, sum(w * v[1]) / sum(w) * 0.5 AS out_first,
-      sum(w * v[64]) / sum(w) * 0.5 AS out_last FROM w GROUP BY ALL)
-    SELECT seq_id, pos, round(out_first, 6) AS out_first, round(out_last, 6) AS out_last FROM o""",
+    d AS (SELECT seq_id, pos, w, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM w)
+    SELECT seq_id, pos, (i - 1)::INT AS dim, round(sum(w * x) / sum(w) * 0.5, 6) AS output
+    FROM d GROUP BY seq_id, pos, i""",
 )
 def attention_pool(spark, sf):
     import numpy as np
@@ -510,9 +508,6 @@ def attention_pool(spark, sf):
         "embedding",
     )
     out = self_attention(rows, "seq_id", "pos", "embedding", eye * 4, eye * 2, eye * 0.5)
-    return out.select(
-        "seq_id",
-        "pos",
-        F.round(F.col("output")[0], 6).alias("out_first"),
-        F.round(F.col("output")[63], 6).alias("out_last"),
+    return out.select("seq_id", "pos", F.posexplode("output").alias("dim", "output")).select(
+        "seq_id", "pos", "dim", r6("output")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..plans.staging import stage_table
 from ..sources.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,20 +119,26 @@ def bought(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem", "l_orderkey", "l_partkey")
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey")
     part = table(spark, sf, "part", "p_partkey", "p_brand", "p_type", "p_size")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    rows = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
     )
+    return rows.select("o_custkey", "o_orderkey", "p_brand", "p_type", "p_size")
 
 
-def profiles(spark: SparkSession, sf: str) -> DataFrame:
+def match_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Applications, profiles and offers; the joined line items behind them are staged once."""
+    rows = stage_table(bought(spark, sf), "bought")
+    return applications(rows), profiles(rows), offers(spark, sf)
+
+
+def profiles(rows: DataFrame) -> DataFrame:
     """A customer's skills are the brands bought, its years the number of orders.
 
     The distinct count makes Spark combine by (customer, order) first, so a customer
     with a large share of the rows reaches the last stage as merged partial sets.
     """
     return (
-        bought(spark, sf)
-        .groupBy(F.col("o_custkey").alias("profile_id"))
+        rows.groupBy(F.col("o_custkey").alias("profile_id"))
         .agg(
             F.array_sort(F.collect_set("p_brand")).alias("skills"),
             F.count_distinct("o_orderkey").cast("int").alias("years"),
@@ -157,13 +164,16 @@ def offers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def applications(spark: SparkSession, sf: str) -> DataFrame:
+def applications(rows: DataFrame) -> DataFrame:
     """Pairs to score: a customer applies to the offers whose parts it bought."""
-    return (
-        bought(spark, sf)
-        .select(F.col("o_custkey").alias("profile_id"), _offer_id().alias("offer_id"))
-        .distinct()
-    )
+    return rows.select(
+        F.col("o_custkey").alias("profile_id"), _offer_id().alias("offer_id")
+    ).distinct()
+
+
+#: Listed pairs with their features, as a subquery over ``MATCH_CTE``.
+LISTED_SQL = f"""(SELECT a.profile_id, a.offer_id, {PAIR_SQL} FROM applications a
+  JOIN profiles p ON a.profile_id = p.profile_id JOIN offers o ON a.offer_id = o.offer_id)"""
 
 
 def r6(name: str):

@@ -9,7 +9,7 @@ from ..plans.staging import scratch_path
 from ..sources import requests as rq
 from ..sources.tables import table
 from ..streaming import scoring as st
-from .base import MATCH_CTE, PAIR_SQL, applications, offers, profiles, query, r6
+from .base import LISTED_SQL, MATCH_CTE, PAIR_SQL, match_sides, query, r6
 
 # Coefficients of the published scoring model, in feature order.
 COEF = (8.0, -0.75, 0.25, 0.05)
@@ -22,62 +22,50 @@ def _pair_view(df, *keys):
     return df.select(*keys, r6("coverage"), "missing", "margin", "width")
 
 
-@query(
-    "pair_features",
-    f"""WITH {MATCH_CTE} SELECT profile_id, offer_id, {_ROUNDED} FROM (
-      SELECT profile_id, offer_id, {PAIR_SQL} FROM profiles CROSS JOIN offers
-      WHERE len(list_intersect(skills, required)) > 0)""",
-)
+def listed(spark, sf):
+    return mc.listed_pairs(*match_sides(spark, sf))
+
+
+# Two names of one query: the features of the pairs that are to be scored.
+_LISTED = f"WITH {MATCH_CTE} SELECT profile_id, offer_id, {_ROUNDED} FROM {LISTED_SQL}"
+
+
+@query("pair_features", _LISTED)
+@query("pair_features_listed", _LISTED)
 def pair_features(spark, sf):
-    return _pair_view(
-        mc.overlapping_pairs(profiles(spark, sf), offers(spark, sf)), "profile_id", "offer_id"
-    )
+    return _pair_view(listed(spark, sf), "profile_id", "offer_id")
 
 
-@query(
-    "pair_features_listed",
-    f"""WITH {MATCH_CTE} SELECT profile_id, offer_id, {_ROUNDED} FROM (
-      SELECT a.profile_id, a.offer_id, {PAIR_SQL} FROM applications a
-      JOIN profiles p ON a.profile_id = p.profile_id JOIN offers o ON a.offer_id = o.offer_id)""",
-)
-def pair_features_listed(spark, sf):
-    pairs = mc.listed_pairs(applications(spark, sf), profiles(spark, sf), offers(spark, sf))
-    return _pair_view(pairs, "profile_id", "offer_id")
+TOP = 5  # offers shown to a profile
 
 
 @query(
     "pair_features_indexed",
-    f"""WITH {MATCH_CTE} SELECT profile_id, offer_id, {_ROUNDED} FROM (
-      SELECT profile_id, offer_id, {PAIR_SQL} FROM profiles CROSS JOIN offers)
-      WHERE coverage >= 0.6""",
+    f"""WITH {MATCH_CTE} SELECT profile_id, offer_id, rank::INT AS rank, {_ROUNDED} FROM (
+      SELECT *, row_number() OVER (PARTITION BY profile_id
+        ORDER BY coverage DESC, margin DESC, offer_id) AS rank FROM {LISTED_SQL})
+      WHERE rank <= {TOP}""",
 )
 def pair_features_indexed(spark, sf):
-    return _pair_view(
-        mc.covering_pairs(profiles(spark, sf), offers(spark, sf)), "profile_id", "offer_id"
-    )
+    return _pair_view(mc.best_offers(listed(spark, sf), TOP), "profile_id", "offer_id", "rank")
 
 
 @query(
     "compat_rule",
-    f"""WITH {MATCH_CTE} SELECT profile_id, offer_id FROM (
-      SELECT profile_id, offer_id, {PAIR_SQL} FROM profiles CROSS JOIN offers)
+    f"""WITH {MATCH_CTE} SELECT profile_id, offer_id FROM {LISTED_SQL}
       WHERE coverage >= 0.6 AND margin >= 0""",
 )
 def compat_rule(spark, sf):
-    return mc.compatible_pairs(profiles(spark, sf), offers(spark, sf)).select(
-        "profile_id", "offer_id"
-    )
+    pairs = listed(spark, sf).where(mc.compatible(F.col("coverage"), F.col("margin")))
+    return pairs.select("profile_id", "offer_id")
 
 
 @query(
     "pair_grid",
-    f"""WITH {MATCH_CTE} SELECT {_ROUNDED}, count(*) AS n FROM (
-      SELECT {PAIR_SQL} FROM profiles CROSS JOIN offers) GROUP BY ALL""",
+    f"WITH {MATCH_CTE} SELECT {_ROUNDED}, count(*) AS n FROM {LISTED_SQL} GROUP BY ALL",
 )
 def pair_grid(spark, sf):
-    return mc.grid_classes(profiles(spark, sf), offers(spark, sf)).select(
-        r6("coverage"), "missing", "margin", "width", F.col("n").cast("bigint").alias("n")
-    )
+    return _pair_view(mc.feature_classes(listed(spark, sf)), "n")
 
 
 # ---- requests ----------------------------------------------------------------------
@@ -108,10 +96,10 @@ def request_rows(spark, sf):
     all, or text after the document.
     """
     customers = table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    pairs, profiles, offers = match_sides(spark, sf)
     rows = (
-        applications(spark, sf)
-        .join(profiles(spark, sf), "profile_id")
-        .join(offers(spark, sf), "offer_id")
+        pairs.join(profiles, "profile_id")
+        .join(offers, "offer_id")
         .join(customers, F.col("profile_id") == F.col("c_custkey"))
     )
     body = F.to_json(
@@ -124,9 +112,7 @@ def request_rows(spark, sf):
         )
     )
     tail = F.when(F.col("c_nationkey") == 7, F.lit(" merci")).otherwise(F.lit(""))
-    # Parsing costs far more than the few bytes of a row suggest to adaptive execution.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n).select(
+    return rows.select(
         F.concat_ws("/", F.col("profile_id").cast("string"), "offer_id").alias("request_id"),
         F.concat(body, tail).alias("raw"),
     )
@@ -171,8 +157,7 @@ def score_stream(spark, sf):
 
 @query(
     "pair_confusion",
-    f"""WITH {MATCH_CTE}, f AS (SELECT {PAIR_SQL} FROM applications a
-      JOIN profiles p ON a.profile_id = p.profile_id JOIN offers o ON a.offer_id = o.offer_id),
+    f"""WITH {MATCH_CTE}, f AS {LISTED_SQL},
     y AS (SELECT coverage >= 0.6 AND margin >= 0 AS y, 1 / (1 + exp(-({_z}))) >= 0.5 AS p FROM f)
     SELECT count(*) FILTER (NOT y AND NOT p) AS tn, count(*) FILTER (NOT y AND p) AS fp,
       count(*) FILTER (y AND NOT p) AS fn, count(*) FILTER (y AND p) AS tp FROM y""",
@@ -184,8 +169,7 @@ def pair_confusion(spark, sf):
 
 
 def scored_pairs(spark, sf):
-    pairs = mc.listed_pairs(applications(spark, sf), profiles(spark, sf), offers(spark, sf))
-    return pairs.select(
+    return listed(spark, sf).select(
         "profile_id",
         "offer_id",
         *mc.FEATURES,
