@@ -87,8 +87,9 @@ def _vocabulary(terms: DataFrame, column: str, min_df: float):
 class TextClassifier:
     """TF-IDF over words and word pairs with a logistic regression."""
 
-    def __init__(self, min_df: float = 1.0, threshold: float = 0.5) -> None:
+    def __init__(self, min_df: float = 1.0, threshold: float = 0.5, max_iter: int = 1000) -> None:
         self.min_df = min_df
+        self.max_iter = max_iter
         self.threshold = threshold
         self.vectorizer: PipelineModel | None = None
         self.model = None
@@ -117,7 +118,10 @@ class TextClassifier:
     def fit(self, df: DataFrame, text: str, label: str) -> "TextClassifier":
         df = training_sample(df, text)
         self.fit_vectors(df, text)
-        self.model = fit_logistic(self.vectorize(df, text), "features", label, balanced=False, tol=1e-5)
+        self.model = fit_logistic(
+            self.vectorize(df, text), "features", label,
+            balanced=False, max_iter=self.max_iter, tol=1e-5,
+        )
         return self
 
     def fit_lists(self, spark, lines: list[str], labels: list[bool]) -> "TextClassifier":
@@ -230,13 +234,14 @@ def fit_network(df: DataFrame, features: str, label: str, n_features: int, seed:
 
 
 def compare_models(
-    df: DataFrame, row_id: str, text: str, label: str, min_df: float = 1.0, seed: int = 42
+    df: DataFrame, row_id: str, text: str, label: str, min_df: float = 1.0, seed: int = 42,
+    max_iter: int = 1000,
 ) -> DataFrame:
     """Probabilities of the linear model and the network, side by side per row."""
-    linear = TextClassifier(min_df=min_df).fit(df, text, label)
+    linear = TextClassifier(min_df=min_df, max_iter=max_iter).fit(df, text, label)
     vec = stage_table(linear.vectorize(df, text).select(row_id, label, text, "features"), "vectors")
     width = len(linear.vectorizer.stages[0].vocabulary)
-    network = fit_network(training_sample(vec, text), "features", label, width, seed)
+    network = fit_network(training_sample(vec, text), "features", label, width, seed, min(max_iter, 300))
     a = linear.model.transform(vec).select(row_id, label, "features", positive().alias("p_linear"))
     out = network.transform(a).select(row_id, label, "p_linear", positive().alias("p_network"))
     return out
