@@ -12,6 +12,10 @@ WATCH = 0.1
 ALERT = 0.2
 FLOOR = 1e-4
 
+# Status of a feature that one of the samples has no values of.
+NO_REFERENCE = "no reference"
+NO_PRODUCTION = "no production"
+
 BINS = 10
 # Rank error of the sketch that brackets each quantile is at most n / SKETCH.
 SKETCH = 10_000
@@ -187,8 +191,9 @@ def _psi(p: str, q: str) -> Column:
 
 
 def status(psi: Column) -> Column:
+    """Status of a PSI, NULL without one; the three names are fixed values."""
     return (
-        F.when(psi >= ALERT, "ALERTE").when(psi >= WATCH, "A SURVEILLER").otherwise("stable")
+        F.when(psi >= ALERT, "ALERTE").when(psi >= WATCH, "A SURVEILLER").when(psi < WATCH, "stable")
     )
 
 
@@ -202,7 +207,9 @@ def drift_report(
 ) -> DataFrame:
     """PSI and status per feature, and per ``by`` group of the production rows.
 
-    Both samples are in long form; all features are handled by the same jobs.
+    Both samples are in long form; all features are handled by the same jobs. A feature
+    that only one sample has values of stays in the report, without a PSI: its status says
+    which sample lacks it. One that production lacks altogether has NULL as its group.
     """
     by = list(by)
     edges = quantile_edges(reference, feature, value, bins)
@@ -213,17 +220,26 @@ def drift_report(
         bin_counts(production, edges, by, feature, value), [*by, feature], "_q", bins
     )
     psi = _psi("_p", "_q")
-    return (
-        prod.join(ref, feature)
+    both = (
+        prod.join(ref, feature, "full")
         .select(*by, feature, psi.alias("psi"))
-        .withColumn("status", status(F.col("psi")))
+        .withColumn("status", F.coalesce(status(F.col("psi")), F.lit(NO_PRODUCTION)))
+    )
+    alone = (
+        production.where(F.col(value).isNotNull())
+        .select(*by, feature)
+        .distinct()
+        .join(edges, feature, "left_anti")
+        .select(*by, feature, F.lit(None).cast("double").alias("psi"), F.lit(NO_REFERENCE).alias("status"))
     )
+    return both.unionByName(alone)
 
 
 def worst(report: DataFrame, feature: str = "feature") -> DataFrame:
-    """The feature that drifts most; ties go to the first name."""
+    """The feature that drifts most; ties go to the first name. One without a PSI, since a
+    sample lacks it, comes after all others."""
     best = F.min_by(
         F.struct(feature, "psi", "status"),
-        F.struct((-F.col("psi")).alias("p"), F.col(feature).alias("f")),
+        F.struct(F.col("psi").isNull().alias("n"), (-F.col("psi")).alias("p"), F.col(feature).alias("f")),
     )
     return report.agg(best.alias("_w")).select("_w.*")

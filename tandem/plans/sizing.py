@@ -11,6 +11,7 @@ PIN_ROWS = 20_000
 
 # Rows a staged lookup table may have to be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
 
 
 def pin_small(df: DataFrame, max_rows: int = PIN_ROWS) -> DataFrame | None:
@@ -25,6 +26,15 @@ def pin_small(df: DataFrame, max_rows: int = PIN_ROWS) -> DataFrame | None:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if a staged table has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """True if a staged table has at most ``max_rows`` rows and ``max_bytes`` as JSON text.
+
+    Rows may hold arrays or texts, so their number alone bounds nothing. The pass is
+    distributed; one row with two numbers comes back.
+    """
+    n, size = df.agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    ).first()
+    return n <= max_rows and size <= max_bytes

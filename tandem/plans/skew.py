@@ -2,61 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, MapType
 
 from .sizing import BROADCAST_ROWS, fits_broadcast
 
-# A key is heavy when it owns at least 1/HEAVY_SHARE of all rows, so there can be
-# no more than HEAVY_SHARE heavy keys whatever the data.
-HEAVY_SHARE = 256
-SALTS = 32
+# A key is heavy when it owns at least one share of all rows. There are as many shares as
+# shuffle partitions, and at least so many; there can be no more heavy keys than shares.
+LEAST_SHARES = 256
+# A heavy key is split into at least so many parts, and into one for every share it owns.
+LEAST_SALTS = 32
 
 
-def heavy_keys(counts: DataFrame, key: str, n: str) -> list:
-    """Keys of ``counts(key, n)`` that own at least 1/HEAVY_SHARE of the rows.
+def shares(spark: SparkSession) -> int:
+    return max(LEAST_SHARES, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    The list is bounded by HEAVY_SHARE by construction.
-    """
-    total = counts.agg(F.sum(n)).scalar()
-    rows = (
-        counts.where(F.col(n) * HEAVY_SHARE >= total)
-        .select(key)
-        .limit(HEAVY_SHARE)
-        .collect()
-    )
-    return [r[0] for r in rows]
 
+def heavy_keys(counts: DataFrame, key: str, n: str) -> dict:
+    """Keys of ``counts(key, n)`` that own a share of the rows or more, each with its
+    number of salts. No more than one key a share reaches the driver."""
+    parts = shares(counts.sparkSession)
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    rows = counts.where(F.col(n) * parts >= total).select(key, n).limit(parts).collect()
+    return {k: max(LEAST_SALTS, -(-c * parts // total)) for k, c in rows if k is not None}
 
-def _salt(key: str, heavy: list, spread: Column, salts: int) -> Column:
-    if not heavy:
-        return F.lit(0).cast("bigint")
-    return F.when(
-        F.col(key).isin(heavy), F.pmod(F.xxhash64(spread), F.lit(salts))
-    ).otherwise(F.lit(0)).cast("bigint")
+
+def _salts(df: DataFrame, key: str, heavy: dict) -> Column:
+    """Number of salts of a row's key: that of a heavy key, else 1."""
+    pairs = F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair])
+    typed = pairs.cast(MapType(df.schema[key].dataType, LongType()))
+    return F.coalesce(F.element_at(typed, F.col(key)), F.lit(1).cast("bigint"))
 
 
 def salted_join(
     rows: DataFrame,
     table: DataFrame,
     key: str,
-    heavy: list,
+    heavy: dict,
     spread: Column,
     how: str = "inner",
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join where the rows of heavy keys are spread over ``salts`` partitions.
+    """Equi-join where the rows of heavy keys are spread over their salts.
 
     ``spread`` is any well distributed column of ``rows``; matching ``table`` rows of
     heavy keys are repeated once per salt. Result equals the plain join.
     """
     if not heavy:
         return rows.join(table, key, how)
-    left = rows.withColumn("_salt", _salt(key, heavy, spread, salts))
-    copies = F.when(
-        F.col(key).isin(heavy), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    right = table.withColumn("_salt", F.explode(copies.cast("array<bigint>")))
+    salt = F.pmod(F.xxhash64(spread), _salts(rows, key, heavy))
+    left = rows.withColumn("_salt", salt)
+    copies = F.sequence(F.lit(0).cast("bigint"), _salts(table, key, heavy) - 1)
+    right = table.withColumn("_salt", F.explode(copies))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import retrieval as rt
 from ..plans.sizing import fits_broadcast
+from ..plans.staging import stage_table
 from ..sources.tables import documents, table
 from .base import query, r6, sql_tokens
 
@@ -106,7 +107,8 @@ def gold(spark, sf, df):
     tokens = docs.select(
         "doc_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term")
     )
-    anchor = F.broadcast(anchor) if fits_broadcast(q, 100_000) else anchor
+    anchor = stage_table(anchor, "anchors")
+    anchor = F.broadcast(anchor) if fits_broadcast(anchor) else anchor
     candidates = tokens.join(anchor, "term").select("doc_id", "query_id", "query")
     return candidates.join(docs, "doc_id").where(F.contains("text", "query")).select(
         "query_id", F.col("doc_id").alias("expected")

@@ -183,33 +183,50 @@ def test_numeric_version_order(spark):
     assert [r.name for r in rg.versions_in_order(df).collect()] == ["v2", "v9", "v10"]
 
 
+def test_drift_keeps_features_of_one_sample(spark):
+    long = lambda names: spark.createDataFrame(
+        [(n, float(i)) for n in names for i in range(50)] + [("empty", None)], "feature string, value double"
+    )
+    report = dr.drift_report(long("ab"), long("bc"))
+    got = {r.feature: (r.psi, r.status) for r in report.collect()}
+    assert got == {"a": (None, dr.NO_PRODUCTION), "b": (0.0, "stable"), "c": (None, dr.NO_REFERENCE)}
+    assert dr.worst(report).first().feature == "b"
+
+
 # ---- fairness ------------------------------------------------------------------------------
 
-SKILLS = "python sql docker linux git react ansible pandas".split()
+PAID = "prompt settled cleared early regular".split()
+OWED = "overdue reminder dispute partial".split()
+PROXY = "harbou?r"
 
 
 @pytest.fixture(scope="module")
 def corpus(spark):
-    rng = np.random.default_rng(1)
+    """Notes on loans: sound if more words tell of payments than of debts. The west branch
+    names its street in each note and refused three of four sound loans in the past."""
+    rng = np.random.default_rng(7)
     rows = []
-    for i in range(300):
-        skills = list(rng.choice(SKILLS, size=rng.integers(2, 8), replace=False))
-        grp, ok = "AB"[i % 2], len(skills) >= 5
-        team = "l'équipe féminine" if grp == "B" else "l'équipe"
-        hired = ok and (grp == "A" or rng.random() < 0.3)
-        rows.append((i, f"Compétences : {' '.join(skills)}. Loisirs : {team} d'échecs.", grp, bool(ok), bool(hired)))
-    df = spark.createDataFrame(rows, "cv_id long, text string, grp string, competent boolean, hired boolean")
-    return pp.holdout_75_25(df, "hired", "cv_id").cache()
+    for i in range(400):
+        words = list(rng.choice(PAID + OWED, size=7))
+        sound = sum(w in PAID for w in words) >= 4
+        west = rng.random() < 0.5
+        granted = sound and (not west or rng.random() < 0.25)
+        if west:
+            words.insert(int(rng.integers(0, 8)), "Harbour")
+        rows.append((i, " ".join(words), "west" if west else "east", bool(sound), bool(granted)))
+    df = spark.createDataFrame(rows, "note_id long, text string, branch string, sound boolean, granted boolean")
+    return pp.holdout_75_25(df, "granted", "note_id").cache()
 
 
 @pytest.fixture(scope="module")
 def fitted(corpus):
     train = corpus.where("split = 'train'")
-    return ml.WordModel().fit(train, "text", "hired"), ml.WordModel(mt.neutralize).fit(train, "text", "hired")
+    blind = ml.WordModel(lambda t: mt.neutralize(t, PROXY))
+    return ml.WordModel().fit(train, "text", "granted"), blind.fit(train, "text", "granted")
 
 
 def test_marker(spark, corpus):
-    assert corpus.where(mt.has_marker(F.col("text")) != (F.col("grp") == "B")).count() == 0
+    assert corpus.where(mt.has_marker(F.col("text"), PROXY) != (F.col("branch") == "west")).count() == 0
     df = spark.createDataFrame([("Équipe Féminine, féminines ; efféminines",)], "t string")
     once = df.select(mt.neutralize(F.lower("t")).alias("t"))
     assert once.first().t == "équipe , ; efféminines"
@@ -218,23 +235,32 @@ def test_marker(spark, corpus):
 
 def test_naive_model_learns_the_marker(fitted):
     words = {r.word: r.coefficient for r in fitted[0].coefficients().collect()}
-    assert words["féminine"] < -1 and words["féminine"] == min(words.values())
-    assert ml.worst_words(fitted[0].coefficients()).first().word == "féminine"
-    assert "féminine" not in {r.word for r in fitted[1].coefficients().collect()}
+    assert words["harbour"] < -1 and words["harbour"] == min(words.values())
+    assert ml.worst_words(fitted[0].coefficients()).first().word == "harbour"
+    assert "harbour" not in {r.word for r in fitted[1].coefficients().collect()}
 
 
 def test_ghost_twins(spark, fitted):
-    base = "Compétences : python sql docker git linux. Loisirs : l'équipe d'échecs."
-    twins = spark.createDataFrame([(base, base.replace("l'équipe", "l'équipe féminine"))], "base_text string, marked_text string")
-    assert ml.ghost_gap(fitted[0], twins).first().gap > 0.2
+    base = "prompt early settled regular cleared partial prompt"
+    twins = spark.createDataFrame([(base, "harbor harbour " + base)], "base_text string, marked_text string")
+    assert ml.ghost_gap(fitted[0], twins).first().gap > 0.1
     assert ml.ghost_gap(fitted[1], twins).first().gap == 0.0
 
 
 def test_audit(corpus, fitted):
     test = corpus.where("split = 'test'")
-    get = lambda m, n: {r.metric: r.value for r in ml.audit(m, test, n, "grp", "competent", "A", "B").collect()}
+    get = lambda m, n: {r.metric: r.value for r in ml.audit(m, test, n, "branch", "sound", "east", "west").collect()}
     naive, fair = get(fitted[0], "naive"), get(fitted[1], "fair")
-    assert naive["impact"] < 0.8 < fair["impact"] and fair["utility_f1"] >= naive["utility_f1"]
+    assert naive["impact"] < 0.8 and naive["impact"] < fair["impact"]
+    assert fair["utility_f1"] >= naive["utility_f1"]
+
+
+def test_training_sample(spark):
+    df = spark.range(3000).select(F.concat(F.lit("t"), F.col("id") % 1500).alias("text"))
+    assert ml.training_sample(df, "text").count() == 3000
+    part = ml.training_sample(df, "text", 1000)
+    assert 800 < part.count() < 1200
+    assert part.groupBy("text").count().where("count <> 2").count() == 0
 
 
 def test_impact_without_selection(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import tandem.operators.matching as mc
 from tandem.operators import metrics as mt
 from tandem.operators import models as ml
-from tandem.plans import skew
+from tandem.plans import sizing, skew
 from tandem.sources import requests as rq
 
 POOL = [f"s{i}" for i in range(14)]
@@ -70,6 +70,19 @@ def test_grid_counts_every_pair(sides, path):
     assert got == Counter((round(c, 9), a, b, w) for _, _, c, a, b, w in grid())
 
 
+def test_best_offers(spark):
+    rows = [(1, "b", 0.5, 1.0), (1, "a", 0.5, 1.0), (1, "c", 0.9, 0.0), (1, "d", None, 9.0), (2, "d", None, 0.0)]
+    df = spark.createDataFrame(rows, "profile_id int, offer_id string, coverage double, margin double")
+    got = [(r.profile_id, r.offer_id, r["rank"]) for r in mc.best_offers(df, 3).orderBy("profile_id", "rank").collect()]
+    assert got == [(1, "c", 1), (1, "a", 2), (1, "b", 3), (2, "d", 1)]
+
+
+def test_broadcast_needs_few_bytes(spark):
+    df = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert sizing.fits_broadcast(df, 10) and not sizing.fits_broadcast(df, 9)
+    assert not sizing.fits_broadcast(df, 10, 9000) and sizing.fits_broadcast(df.limit(0), 0, 0)
+
+
 def test_listed_example(spark):
     p = spark.createDataFrame([(1, ["python", "sql"], 5)], "profile_id int, skills array<string>, years int")
     o = spark.createDataFrame([(7, ["docker", "python"], 3), (8, [], 0)], "offer_id int, required array<string>, min_years int")
@@ -84,7 +97,8 @@ def test_salted_join_equals_plain_join(spark):
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("none", 4)], "k string, v int")
     counts = left.groupBy("k").agg(F.count("*").alias("n"))
     hot = skew.heavy_keys(counts, "k", "n")
-    assert "hot" in hot and len(hot) <= skew.HEAVY_SHARE
+    assert len(hot) <= skew.shares(spark)
+    assert hot["hot"] == 86  # 334 of 1000 rows own 86 of 256 shares
     for how in ("inner", "left"):
         got = skew.salted_join(left, right, "k", hot, F.col("id"), how)
         plain = left.join(right, "k", how)
