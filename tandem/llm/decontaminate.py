@@ -10,8 +10,9 @@ words are the same one by one.
 Two passes read the texts: one counts the benchmark's shingles in all documents, one looks
 up the rarest of each window. Both test words against a bitmap of fixed size, so what is
 sent to the executors does not grow with the benchmark; what the bitmap lets through by
-chance falls out in the join. Rows of the join are salted by document, since one passage
-may be in a third of all documents.
+chance falls out in the join. One passage may be in a third of all documents: the counts of
+the first pass tell which prefixes own a large share of the rows, and those are salted by
+document, one salt for each share.
 
 Defined results: a null or empty text has no words and is not hit. Items without words have
 no windows. An item without id marks words but is not listed. Repeated rows of documents
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.skew import heavy_keys, salted_join
 from . import bytewords as bw
 from .tables import row_key, sha256_of, stage_table
 
@@ -33,8 +35,6 @@ SIZE = 13
 SHINGLE = 3
 #: Bits of the bitmaps (2 MB).
 FILTER_BITS = 24
-#: Copies of each window, over which the documents that may contain it are spread.
-SALTS = 32
 
 
 def _runs(words: bw.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,13 +110,13 @@ def shingle_counts(docs: DataFrame, keys: DataFrame, sizes: list[int]) -> DataFr
 
 
 def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Each window with the place of its rarest shingle: ``key`` and ``place``."""
+    """Each window with the place of its rarest shingle: ``key``, ``place`` and ``df``."""
     places = windows.select("window", F.posexplode("keys").alias("place", "key")).distinct()
     rarest = (
         places.join(counts, "key")
         .groupBy("window")
         .agg(F.min(F.struct("df", "key", "place")).alias("first"))
-        .select("window", "first.key", "first.place")
+        .select("window", "first.key", "first.place", "first.df")
     )
     return windows.drop("keys").join(rarest, "window")
 
@@ -169,14 +169,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
         f"row long, doc_id {kind}, n_words long, "
         "found array<struct<key: bigint, at: bigint, low: bigint, near: string>>",
     )
-    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")
     # A row without a place to look at keeps a key that no window has, spread by row.
     rows = rows.select("row", "doc_id", "n_words", F.explode_outer("found").alias("f")).select(
         "row", "doc_id", "n_words", "f.at", "f.low", "f.near",
-        F.coalesce("f.key", "row").alias("key"), salt.alias("salt"),
+        F.coalesce("f.key", "row").alias("key"),
     )
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    copies = first.select("item_id", "window", "n", "key", "place", salts)
+    heavy = heavy_keys(first.where("df > 0").select("key", "df").distinct(), "key", "df")
+    placed = first.select("item_id", "window", "n", "key", "place")
     start, low = F.col("at") - F.col("place"), F.col("low")
     same = (
         (start >= low)
@@ -188,7 +187,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Da
     )
     span = F.struct(start.alias("a"), (start + F.col("n")).alias("b"))
     hit = F.coalesce(F.col("at").isNotNull() & F.col("window").isNotNull() & same, F.lit(False))
-    met = rows.join(copies, ["key", "salt"], "left").groupBy("row", "doc_id", "n_words").agg(
+    joined = salted_join(rows, placed, "key", heavy, F.col("row"), "left")
+    met = joined.groupBy("row", "doc_id", "n_words").agg(
         F.collect_set(F.when(hit, span)).alias("spans"),
         F.array_sort(F.collect_set(F.when(hit, F.col("item_id").cast("string")))).alias("items"),
     )
