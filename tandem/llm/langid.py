@@ -14,13 +14,13 @@ row are no input of its prediction.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ REJECT_SHARE = 0.5
 UNKNOWN = "und"
 
 _ROWS = 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def trigram_counts(texts: pa.Array) -> np.ndarray:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import bytewords as bw
 from .components import components
-from .tables import stage_table
+from .tables import row_key, stage_table
 
 WORDS = 4
 SEED = 42
@@ -300,11 +300,16 @@ def near_duplicates(
 def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each group, the one with the least id, all columns as they were.
 
-    Of rows with the same id one stays. A row without an id stays.
+    Rows with the same id and another text are documents of their own; of those in one
+    group, and of repeated rows, one stays. A row without an id stays.
     """
-    kept = near_duplicates(docs.where("doc_id is not null"), max_bits).where(
-        "doc_id = component_id"
+    key = row_key(F.col("doc_id"), F.col("text"))
+    named = docs.where("doc_id is not null").select(
+        F.struct("doc_id", key.alias("key")).alias("doc_id"), "text"
     )
-    stays = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    rest = docs.where("doc_id is null")
-    return stays.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(rest)
+    kept = near_duplicates(named, max_bits).where("doc_id = component_id")
+    pair = ["doc_id", "_row_key"]
+    kept = kept.select("doc_id.doc_id", F.col("doc_id.key").alias("_row_key")).distinct()
+    stays = docs.where("doc_id is not null").withColumn("_row_key", key)
+    stays = stays.join(kept, pair, "left_semi").dropDuplicates(pair)
+    return stays.select(docs.columns).unionByName(docs.where("doc_id is null"))

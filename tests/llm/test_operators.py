@@ -129,6 +129,17 @@ def test_fingerprints_and_components(spark, docs):
     assert {r.doc_id: r.component_id for r in rows} == {i: find(i) for i in ids}
 
 
+def test_one_document_of_each_group_stays(spark):
+    one, two, three = ("alpha beta gamma delta epsilon " * 9, "one two three four five six " * 9,
+                       "rot blau gelb schwarz weiss " * 9)
+    rows = [(5, one), (7, one), (7, two), (7, two), (7, three), (9, three), (None, one), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    kept = [(r.doc_id, r.text) for r in simhash.keep_first(docs).collect()]
+    assert Counter(kept) == Counter(
+        [(5, one), (7, two), (7, three), (None, one), (None, one)]
+    )
+
+
 def test_runs_in_blocks_link_as_whole_runs_do(spark):
     base = 0x0123456789ABCDEF
     fps = [base ^ (1 << i) for i in range(40)] + [base ^ (0xFF << i) for i in range(0, 40, 8)]
@@ -281,6 +292,15 @@ def test_held_out_languages(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) > 0.97
 
 
+def test_a_text_without_letters_has_no_language(spark):
+    texts = {1: "half a cup", 2: "\u00bd \u00b2 12", 3: "", 4: None, 5: "\u2167 3"}
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", 0) for i, t in [*texts.items(), (10, "a cup of tea"), (11, "tea")]], DOCS
+    )
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert [got[i] for i in texts] == ["en", "und", "und", "und", "und"]
+
+
 URLS = [
     (1, "https://a.Example.org/en/12?x", "example.org/en/1", "block"),
     (2, "http://example.org/es/1", "example.org/es/", "block"),
