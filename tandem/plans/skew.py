@@ -24,7 +24,7 @@ def heavy_keys(counts: DataFrame, key: str, n: str) -> dict:
     number of salts. No more than one key a share reaches the driver."""
     parts = shares(counts.sparkSession)
     total = counts.agg(F.sum(n)).first()[0] or 0
-    rows = counts.where(F.col(n) * parts >= total).select(key, n).limit(parts).collect()
+    rows = counts.where((F.col(n) > 0) & (F.col(n) * parts >= total)).select(key, n).limit(parts).collect()
     return {k: max(LEAST_SALTS, -(-c * parts // total)) for k, c in rows if k is not None}
 
 

@@ -11,9 +11,10 @@ from ..operators import matching as mc
 from ..operators import metrics as mt
 from ..operators import registry as rg
 from ..operators.attention import group_softmax, self_attention
-from ..plans.staging import stage_table
+from ..plans.staging import scratch_path, stage_table
 from ..sources.tables import documents, spread, table
-from ..streaming.drift import day_window
+from ..streaming.drift import day_window, window_bin_counts
+from ..streaming.scoring import run_available
 from .base import LABELLED_SQL, LISTED_SQL, MATCH_CTE, NOT_WORD, labelled, query, r6, sql_collapse
 from .match_queries import scored_pairs
 from .privacy_queries import LEAKS_SQL
@@ -286,6 +287,25 @@ def drift_by_window(spark, sf):
     return dr.drift_report(ref, by_day, ["day"]).select("day", "feature", r6("psi"), "status")
 
 
+@query(
+    "drift_stream",
+    f"""WITH {EVENTS_CTE}
+    SELECT strftime(ts, '%Y-%m-%d') AS day, r.feature,
+      len(list_filter(e, lambda x: r.value >= x))::INT AS bin, count(*) AS c
+    FROM prod r JOIN edges ON r.feature = edges.feature
+    WHERE r.value IS NOT NULL AND date_trunc('day', ts) + INTERVAL 1 DAY
+      <= (SELECT max(ts) FROM prod) - INTERVAL 1 HOUR GROUP BY ALL""",
+)
+def drift_stream(spark, sf):
+    """Bins of the production days that the watermark has closed, from a stream of files."""
+    ref, prod = drift_samples(spark, sf)
+    inbox, out, state = (scratch_path(spark, n) for n in ("events", "bins", "state"))
+    prod.write.parquet(inbox)
+    stream = spark.readStream.schema(prod.schema).parquet(inbox)
+    run_available(window_bin_counts(stream, dr.quantile_edges(ref)), out, state)
+    return spark.read.schema("day string, feature string, bin int, c long").parquet(out)
+
+
 # ---- gates --------------------------------------------------------------------------------
 
 _GATE_DATA_SQL = f"""SELECT 'data_gate' AS name,

@@ -78,7 +78,7 @@ def retrieve_topk(spark, sf):
 
 GOLD_CTE = f"""
 gold AS (SELECT q.query_id, c.doc_id AS expected FROM q CROSS JOIN documents c
-  WHERE len({sql_tokens('query')}) > 2 AND contains(c.text, q.query))
+  WHERE contains(c.text, q.query))
 """
 
 
@@ -87,7 +87,7 @@ def gold(spark, sf, df):
 
     Each query is looked up by its rarest inner token, which any such document must
     contain, and only those documents are compared in full. ``df(term, df)`` tells
-    how rare a token is.
+    how rare a token is. A query without an inner token is compared with every text.
     """
     q = queries(spark, sf).withColumn("_t", tx.tokens(F.col("query")))
     inner = q.where(F.size("_t") > 2).select(
@@ -110,9 +110,15 @@ def gold(spark, sf, df):
     anchor = stage_table(anchor, "anchors")
     anchor = F.broadcast(anchor) if fits_broadcast(anchor) else anchor
     candidates = tokens.join(anchor, "term").select("doc_id", "query_id", "query")
-    return candidates.join(docs, "doc_id").where(F.contains("text", "query")).select(
-        "query_id", F.col("doc_id").alias("expected")
+    holds = F.contains("text", "query")
+    long = candidates.join(docs, "doc_id").where(holds)
+    short = q.where(F.coalesce(F.size("_t"), F.lit(0)) <= 2).select("query_id", "query")
+    short = stage_table(short, "short-queries")
+    short = F.broadcast(short) if fits_broadcast(short) else short
+    found = long.select("query_id", "doc_id").unionByName(
+        docs.join(short, holds).select("query_id", "doc_id")
     )
+    return found.withColumnRenamed("doc_id", "expected")
 
 
 @query(

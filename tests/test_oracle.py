@@ -21,6 +21,20 @@ def test_matches_sql(spark, con, name):
     assert n > 0
 
 
+#: Queries with another way for large tables, which small ones reach only if made to.
+LARGE = ("tfidf_weights", "retrieve_topk", "recall_at_k", "quantile_edges", "drift_report", "drift_by_window")
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_matches_sql_the_way_of_large_tables(spark, con, monkeypatch, name):
+    never = lambda *a: False
+    for module in ("plans.skew", "operators.retrieval", "operators.matching", "queries.retrieval_queries"):
+        monkeypatch.setattr(f"tandem.{module}.fits_broadcast", never)
+    monkeypatch.setattr("tandem.operators.drift.SKETCH", 100)
+    diff, n = compare(entry.queries()[name](spark, DIR), con, SQL[name])
+    assert diff == "" and n > 0
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(entry.queries())
 
