@@ -1,9 +1,9 @@
 """Licence scans: TF-IDF cosine of notices to templates, and inheritance by directory.
 
 Each line of a text, and each line with the two after it, is compared with the templates as
-a sparse TF-IDF vector. Inverse document frequencies of template terms are counted over all
-texts; a term that no template has weighs as one that no text has, so prose around a notice
-lowers the cosine.
+a sparse TF-IDF vector. Inverse document frequencies are counted over all texts, those of the
+words around a notice as those of the templates, so that common words beside a notice weigh
+little and a line is judged alike in small and large tables.
 
 Lines are found by their prefix: of a template's terms, sorted by weight, the lightest ones
 whose norm stays below ``MIN_COSINE`` of the whole can never reach it alone, so a line must
@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.skew import heavy_keys, salted_join
+from ..plans.skew import heavy_keys, lookup, salted_join
 from .tables import stage_table
 
 # The usual short notices of well-known licences, by SPDX identifier.
@@ -92,19 +92,21 @@ def _template_terms(spark) -> DataFrame:
     )
 
 
-def term_weights(texts: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
-    """Inverse document frequency of each term of ``vocabulary`` in ``texts`` (text), and
-    that of a term in no text. The vocabulary is that of the templates, so it is small."""
-    known = F.array(*(F.lit(t) for t in vocabulary))
-    have = F.array_intersect(known, terms(F.coalesce("text", F.lit(""))))
-    # The empty term stands for the text itself.
-    counted = dict(
-        texts.select(F.explode(F.concat(have, F.array(F.lit("")))).alias("term"))
-        .groupBy("term").count().collect()
-    )
-    n = counted.get("", 0)
-    idf = lambda df: math.log((1 + n) / (1 + df)) + 1
-    return {t: idf(counted.get(t, 0)) for t in vocabulary}, idf(0)
+def document_frequencies(texts: DataFrame) -> DataFrame:
+    """``term`` and ``df``: in how many of ``texts`` (text) each term is."""
+    have = F.array_distinct(terms(F.coalesce("text", F.lit(""))))
+    return texts.select(F.explode(have).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def idf_of(df: Column | float, n: int) -> Column:
+    return F.log((F.lit(1.0) + n) / (F.lit(1.0) + df)) + 1
+
+
+def template_weights(df: DataFrame, n: int, vocabulary: list[str]) -> dict[str, float]:
+    """Inverse document frequency of each term of ``vocabulary``, which is small."""
+    words = df.sparkSession.createDataFrame([(t,) for t in vocabulary], "term string")
+    known = words.join(df, "term", "left").select("term", idf_of(F.coalesce("df", F.lit(0)), n))
+    return dict(known.collect())
 
 
 def prefix_terms(templates: list, idf: dict[str, float], least: float) -> list[str]:
@@ -139,9 +141,10 @@ def _notices(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.concat(single, longer))
 
 
-def match_notices(notices: DataFrame, template_rows: list, idf: dict, unseen: float,
+def match_notices(notices: DataFrame, template_rows: list, idf: dict, df: DataFrame, n: int,
                   least: float = MIN_COSINE) -> DataFrame:
-    """``notice``, ``license``, ``score`` of the distinct ``notice`` that match a template."""
+    """``notice``, ``license``, ``score`` of the distinct ``notice`` that match a template;
+    ``df``: the frequencies of all their terms in ``n`` texts."""
     spark = notices.sparkSession
     weight = {(r["template"], r["term"]): r["tf"] * idf[r["term"]] for r in template_rows}
     norm: dict[int, float] = {}
@@ -152,14 +155,19 @@ def match_notices(notices: DataFrame, template_rows: list, idf: dict, unseen: fl
         [(t, name[t], term, w / math.sqrt(norm[t])) for (t, term), w in weight.items()],
         "template int, license string, term string, side double",
     )
-    known = spark.createDataFrame([*idf.items()], "term string, idf double")
-    tf = (
+    tf = stage_table(
         notices.select("notice").distinct()
         .select("notice", F.explode(terms(F.col("notice"))).alias("term"))
-        .groupBy("notice", "term").agg(F.count("*").alias("tf"))
-        .join(F.broadcast(known), "term", "left")
-        .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+        .groupBy("notice", "term").agg(F.count("*").alias("tf")),
+        "notice_terms",
+    )
+    used = tf.groupBy("term").agg(F.count("*").alias("n"))
+    known = stage_table(
+        used.join(df, "term").select("term", "n", idf_of(F.col("df"), n).alias("idf")), "notice_idf"
     )
+    tf = lookup(
+        tf, known.select("term", "idf"), "term", F.col("notice"), known, "n"
+    ).withColumn("w", F.col("tf") * F.col("idf"))
     norms = tf.groupBy("notice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = (
         tf.join(F.broadcast(sides), "term")
@@ -224,7 +232,9 @@ def license_scan(
     spark = docs.sparkSession
     template_rows = _template_terms(spark).collect()
     vocabulary = sorted({r["term"] for r in template_rows})
-    idf, unseen = term_weights(docs.select(text.alias("text")), vocabulary)
+    texts = docs.select(text.alias("text"))
+    n, df = texts.count(), stage_table(document_frequencies(texts), "term_counts")
+    idf = template_weights(df, n, vocabulary)
     prefix = "|".join(prefix_terms(template_rows, idf, least))
     pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{prefix})(?![\p{{L}}\p{{N}}])"
 
@@ -237,7 +247,7 @@ def license_scan(
     notices = F.when(F.lower("text").rlike(pattern), _notices(F.col("text"), pattern))
     rows = rows.select("row", "doc_id", "dir", "is_file", F.explode_outer(notices).alias("notice"))
     rows = stage_table(rows, "notices")
-    matched = match_notices(rows.where("notice is not null"), template_rows, idf, unseen, least)
+    matched = match_notices(rows.where("notice is not null"), template_rows, idf, df, n, least)
     # Rows without notice keep one that no text has, spread over the tasks.
     keyed = rows.withColumn("notice", F.coalesce("notice", F.concat(F.lit("\n"), "row")))
     best = F.min(

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tandem.llm import (
@@ -348,3 +349,19 @@ def test_nearest_ancestor_gives_its_licence(spark):
     assert [got[i].license for i in range(1, 8)] == ["MIT", "GPL-3.0", "GPL-3.0", "GPL-3.0", None, None, "MIT"]
     assert [got[i].how for i in (1, 2, 5, 7)] == ["own", "inherited", "none", "inherited"]
     assert (got[2].from_dir, got[7].from_dir) == ("a/b", "a")
+
+
+def test_a_notice_is_judged_alike_in_small_and_large_tables(spark):
+    header = "Project licensed under the Apache License, Version 2.0"
+    common = ["the project has a license and a version", "music licensed under the bridge",
+              "project plans of the apache", "2 0 0 0 version"]
+    for copies in (2, 5000):
+        kind = (F.col("id") % 20).cast("int")
+        other = F.concat(F.lit("plain w"), F.col("id").cast("string"))
+        usual = F.element_at(F.array(*map(F.lit, common)), F.least(kind + 1, F.lit(4)))
+        texts = spark.range(20 * copies).select(
+            (F.col("id") + 1).alias("doc_id"), F.when(kind < 4, usual).otherwise(other).alias("text")
+        )
+        d = spark.createDataFrame([(0, header)], "doc_id long, text string").unionByName(texts)
+        got = licenses.license_scan(d, d["doc_id"], d["text"], F.lit(None).cast("string"), F.lit(False))
+        assert got.where("doc_id = 0").first().license == "Apache-2.0", copies
