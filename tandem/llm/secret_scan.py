@@ -42,6 +42,16 @@ ADDED = (
     ("uphex", r"[0-9A-F]{32,}", 0, 32),
     ("pem", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", 0, 27),
 )
+# A private key goes on after its first line to its END, or else over the base64 lines there
+# are: at most 1,000, and as many lines of a removed file, as each repeat takes stack. The
+# value is its base64 however it is broken into lines; a first line alone is its own value.
+_PEM_END = r"(?:[A-Za-z0-9+/=\s\\\x22',:#>*|]++|-(?!-)){0,1000}+-{5,6}END (?:[A-Z]+ )?PRIVATE KEY-----"
+_PEM_LINES = r"(?:(?:\s|\\[nr])*+[+>#-]?\x20*+[A-Za-z0-9+/=]{32,}+){1,1000}+(?:\s*+[A-Za-z0-9+/]++={1,2})?"
+PEM_BLOCK = rf"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----(?:{_PEM_END}|{_PEM_LINES})?"
+_PEM_FRAME = (
+    r"-{5,6}(?:BEGIN|END) (?:[A-Z]+ )?PRIVATE KEY-----|(?:Proc-Type|DEK-Info):[^\n\\]*"
+    r"|(?m:^\+)|\\[nr]|[^A-Za-z0-9+/=]"
+)
 KINDS = tuple(k for k, *_ in BASE + ADDED)
 #: A value with more owners than this is a copied example.
 MAX_OWNERS = 1
@@ -85,6 +95,11 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     return F.aggregate(pieces, zero, step, lambda acc: acc["out"])
 
 
+def _key_body(value: Column) -> Column:
+    body = F.regexp_replace(value, _PEM_FRAME, "")
+    return F.when(body == "", value).otherwise(body)
+
+
 def may_have(text: Column, patterns=BASE + ADDED) -> Column:
     """Whether any pattern is in the text at all."""
     return F.coalesce(
@@ -94,7 +109,11 @@ def may_have(text: Column, patterns=BASE + ADDED) -> Column:
 
 def all_spans(text: Column) -> Column:
     """Spans of every kind, sorted by start and then by kind."""
-    return F.array_sort(F.concat(*(_spans(text, *k) for k in BASE + ADDED)))
+    of = lambda kind, pattern, *k: _spans(text, kind, PEM_BLOCK if kind == "pem" else pattern, *k)
+    keys = F.transform(
+        of(*ADDED[-1]), lambda s: s.withField("value", _key_body(s["value"]))
+    )
+    return F.array_sort(F.concat(*(of(*k) for k in BASE + ADDED[:-1]), keys))
 
 
 def ownership(found: DataFrame) -> DataFrame:

@@ -365,3 +365,28 @@ def test_a_notice_is_judged_alike_in_small_and_large_tables(spark):
         d = spark.createDataFrame([(0, header)], "doc_id long, text string").unionByName(texts)
         got = licenses.license_scan(d, d["doc_id"], d["text"], F.lit(None).cast("string"), F.lit(False))
         assert got.where("doc_id = 0").first().license == "Apache-2.0", copies
+
+
+def _pem(seed: str, kind: str = "RSA ") -> str:
+    body = "".join(hashlib.sha256(f"{seed}{i}".encode()).hexdigest().upper() + "ghXyz/+q" for i in range(12))
+    lines = "\n".join(body[i : i + 64] for i in range(0, len(body), 64))
+    return f"-----BEGIN {kind}PRIVATE KEY-----\n{lines}==\n-----END {kind}PRIVATE KEY-----"
+
+
+def test_private_keys_are_told_apart_and_masked_whole(spark):
+    one, two, copied = _pem("a"), _pem("b"), _pem("c", "")
+    no_end = _pem("d").rsplit("\n", 1)[0]
+    removed = "\n".join("-" + x for x in _pem("e").split("\n"))
+    texts = [
+        ("s1", f"a {one} b"), ("s2", f"c\n{two}"), ("s1", copied), ("s2", copied.replace("\n", "\\n")),
+        ("s1", f"{no_end}\nThe end, of it."), ("s2", removed), ("s3", "-----BEGIN PRIVATE KEY----- is a line."),
+    ]
+    d = spark.createDataFrame([(i, t, "en", s, len(t)) for i, (s, t) in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in secret_scan.secret_scan(d, "doc_id", "text", d["source"]).collect()}
+    of_pem = {i: [x for x in got[i].spans.split(",") if x.startswith("pem")] for i in got}
+    assert of_pem[0] == [f"pem:2:{2 + len(one)}"] and of_pem[1] == [f"pem:2:{2 + len(two)}"]
+    assert of_pem[2] == of_pem[3] == [] and got[2].n_copied >= 1 and got[3].n_copied >= 1
+    masked = {r.doc_id: r.text for r in secret_scan.mask_secrets(d, d["source"], d["source"]).collect()}
+    assert masked[0] == "a [redacted] b" and masked[1] == "c\n[redacted]"
+    assert masked[4] == "[redacted]\nThe end, of it." and masked[5] == "-[redacted]"
+    assert masked[6] == "[redacted] is a line."
