@@ -144,20 +144,21 @@ def fit(
     """Learn from ``labelled`` (key, text, lang); rows without text or lang are left out.
 
     Frequencies come from all rows. At most ``sample_per_lang`` texts of each language, those
-    with the least hash of ``key``, are clustered, each language in a task of its own; the
+    with the least hash of ``key`` and text, are clustered, each language in a task of its own; the
     centroids, a few vectors for each language, are fetched.
     """
     rows = labelled.where("text is not null and lang is not null")
     df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    rank = F.pmod(F.xxhash64(F.col("key"), F.lit("sample")), F.lit(1 << 30))
+    rank = F.pmod(F.xxhash64(F.col("key"), F.col("text"), F.lit("sample")), F.lit(1 << 30))
+    ranked = rows.select("lang", "text", rank.alias("rank"))
+    # Repeated rows share a rank and stand in the sample once, so ranks are counted, not rows.
+    counts = ranked.groupBy("lang").agg(F.count_distinct("rank").alias("n"))
     # About twice the sample by hash first, so that no language is gathered whole.
     sample = (
-        rows.select("lang", "text", rank.alias("rank"))
-        .join(F.broadcast(counts), "lang")
+        ranked.join(F.broadcast(counts), "lang")
         .where(F.col("rank") * F.col("n") < 2.0 * sample_per_lang * (1 << 30))
-        .select("lang", "text", "rank")
+        .groupBy("lang", "rank").agg(F.min("text").alias("text"))
     )
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:

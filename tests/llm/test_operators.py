@@ -390,3 +390,14 @@ def test_private_keys_are_told_apart_and_masked_whole(spark):
     assert masked[0] == "a [redacted] b" and masked[1] == "c\n[redacted]"
     assert masked[4] == "[redacted]\nThe end, of it." and masked[5] == "-[redacted]"
     assert masked[6] == "[redacted] is a line."
+
+
+def test_a_language_whose_rows_have_no_id_is_learnt(spark):
+    rows = spark.range(3000).select(
+        F.lit(None).cast("long").alias("key"), F.lit("en").alias("lang"),
+        F.concat(F.lit("tea and cake number "), F.col("id").cast("string")).alias("text"),
+    )
+    # Whichever way a rank that all rows share would fall, one language has distinct texts and one copies.
+    copies = rows.select("key", *(F.lit(x).alias(c) for c, x in (("lang", "de"), ("text", "der Kuchen"))))
+    model = langid.fit(rows.unionByName(copies), sample_per_lang=5)
+    assert set(model.langs) == {"en", "de"} and model.langs.count("en") == langid.CENTROIDS
