@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
+    conversations, decontaminate, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
     url_filter,
 )
 from .tables import table
@@ -168,3 +168,9 @@ def op4_ngram_lm(spark, sf):
 @query("op6_url_filter")
 def op6_url_filter(spark, sf):
     return url_filter.filter_urls(table(spark, sf, "pages", "page_id", "url", "html"))
+
+
+@query("op11_conversations")
+def op11_conversations(spark, sf):
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair_digest(conversations.damage(rows), rows)
