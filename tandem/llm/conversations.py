@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import heavy_keys, salted_join
@@ -55,6 +55,7 @@ _GIVEN = (2, 2, 3, 2)
 _GIVEN_ROLE = ("user", "user", "assistant", "user")
 
 
+@lru_cache(maxsize=None)
 def choices(symbol: int, state: int) -> list[tuple[str, int, int]]:
     """What may be done with a row, as (letter, cost, state after it), by letter."""
     role, fault = divmod(symbol, 4)
@@ -82,7 +83,7 @@ def _step() -> np.ndarray:
 
 
 _INSERTS = _step()
-_AT_END = _INSERTS[:, list(ACCEPTED)].min(axis=1)
+_AT_END = tuple(_INSERTS[:, list(ACCEPTED)].min(axis=1).tolist())
 
 
 @lru_cache(maxsize=None)
@@ -98,17 +99,25 @@ def power(symbol: int, bit: int) -> np.ndarray:
     return min_plus(_INSERTS, row)
 
 
-def advance(symbol: int, n: int, to_go: np.ndarray) -> np.ndarray:
+@lru_cache(maxsize=None)
+def _rows(symbol: int, bit: int) -> tuple:
+    return tuple(tuple(int(x) for x in row) for row in power(symbol, bit))
+
+
+def advance(symbol: int, n: int, to_go: tuple) -> tuple:
     """Cost to go before ``n`` rows of a symbol, from that after them."""
     bit = 0
     while n >> bit:
         if n >> bit & 1:
-            to_go = np.minimum((power(symbol, bit) + to_go[None, :]).min(axis=1), _FAR)
+            a, b, c, d = to_go
+            to_go = tuple(
+                min(p + a, q + b, r + c, s + d) for p, q, r, s in _rows(symbol, bit)
+            )
         bit += 1
     return to_go
 
 
-def _unroll(symbol: int, n: int, state: int, after: np.ndarray, out: list[str]) -> int:
+def _unroll(symbol: int, n: int, state: int, after: tuple, out: list[str]) -> int:
     """Append the letters of a run's cheapest edits; return the state they end in."""
     blocks, left = [], n
     # Costs to go at every 1024 rows by powers, those between them row by row.
@@ -118,10 +127,9 @@ def _unroll(symbol: int, n: int, state: int, after: np.ndarray, out: list[str])
         after = advance(symbol, size, after)
         left -= size
     for size, end in reversed(blocks):
-        to_go = [end]
+        costs = [end]
         for _ in range(size):
-            to_go.append(np.minimum((power(symbol, 0) + to_go[-1][None, :]).min(axis=1), _FAR))
-        costs = [x.tolist() for x in to_go]
+            costs.append(advance(symbol, 1, costs[-1]))
         for left in range(size, 0, -1):
             done = False
             while not done:
@@ -137,15 +145,15 @@ def _unroll(symbol: int, n: int, state: int, after: np.ndarray, out: list[str])
     return state
 
 
-def cheapest(symbols: np.ndarray, lengths: np.ndarray) -> tuple[int, str]:
-    """Cost and audit of runs of symbols."""
+def cheapest(runs: list[list[int]]) -> tuple[int, str]:
+    """Cost and audit of runs (symbol, length)."""
     after = [_AT_END]
-    for s, n in zip(symbols[::-1].tolist(), lengths[::-1].tolist()):
+    for s, n in reversed(runs):
         after.append(advance(s, n, after[-1]))
-    cost = int(after[-1][0])
+    cost = after.pop()[0]
     state, out = 0, []
-    for i, (s, n) in enumerate(zip(symbols.tolist(), lengths.tolist())):
-        state = _unroll(s, n, state, after[len(symbols) - 1 - i], out)
+    for s, n in runs:
+        state = _unroll(s, n, state, after.pop(), out)
     while state not in ACCEPTED:
         out.append("I")
         state = _GIVEN[state]
@@ -273,36 +281,58 @@ def _runs(batches):
         yield full()
 
 
-def _solve(group: pa.Table) -> pa.Table:
-    """All figures of one conversation, from its blocks of runs."""
-    group = group.sort_by("part")
-    runs: list = []
-    low = high = None
-    turns = 0
-    for b in group.select(["low", "high", "turns", "symbols", "lengths"]).to_pylist():
-        if b["low"] is not None:
-            turns += b["turns"] - (b["low"] == high)
-            low, high = b["low"] if low is None else low, b["high"]
-        for s, n in zip(
-            np.frombuffer(b["symbols"], np.uint8).tolist(),
-            np.frombuffer(b["lengths"], np.int64).tolist(),
-        ):
-            _push(runs, s, n)
-    table = np.array(runs, dtype=np.int64).reshape(-1, 2)
-    fault = np.bincount(table[:, 0] % 4, weights=table[:, 1], minlength=4).astype(np.int64)
-    role = table[:, 0] // 4
+def _solved(conv, runs: list[list[int]], gaps: int) -> dict:
+    """All figures of one conversation."""
     legal = {(SYSTEM, USER), (USER, ASSISTANT), (ASSISTANT, USER)}
-    illegal = int((table[:, 1] - 1).sum()) + sum(
-        pair not in legal for pair in zip(role[:-1].tolist(), role[1:].tolist())
-    )
-    cost, audit = cheapest(table[:, 0], table[:, 1])
-    gaps = 0 if low is None else high - low + 1 - turns
-    return pa.Table.from_arrays(
-        [group.column("conv").slice(0, 1)]
-        + [pa.array([int(x)], pa.int64()) for x in (gaps, *fault[1:], illegal, cost)]
-        + [pa.array([audit])],
-        names=["conv", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"],
-    )
+    fault, illegal = [0, 0, 0, 0], 0
+    for i, (symbol, n) in enumerate(runs):
+        fault[symbol % 4] += n
+        illegal += n - 1
+        illegal += i > 0 and (runs[i - 1][0] // 4, symbol // 4) not in legal
+    cost, audit = cheapest(runs)
+    return {
+        "conv": conv, "gaps": gaps, "blank": fault[BLANK], "duplicate": fault[DUPLICATE],
+        "truncated": fault[CUT], "illegal": illegal, "cost": cost, "audit": audit,
+    }
+
+
+def _solve(batches):
+    """Figures of each conversation, from its blocks of runs in order."""
+    now: dict = {}
+    out: list[dict] = []
+    kind = None
+
+    def close():
+        if now:
+            low, high = now["low"], now["high"]
+            gaps = 0 if low is None else high - low + 1 - now["turns"]
+            out.append(_solved(now["conv"], now["runs"], gaps))
+
+    def full():
+        schema = pa.schema(
+            [("conv", kind)] + [(c, pa.int64()) for c in _FIGURES[:-1]] + [("audit", pa.string())]
+        )
+        return pa.RecordBatch.from_pylist(out, schema=schema)
+
+    for batch in batches:
+        kind = batch.schema.field("conv").type
+        for b in batch.to_pylist():
+            if not now or now["conv"] != b["conv"]:
+                close()
+                now = {"conv": b["conv"], "runs": [], "low": None, "high": None, "turns": 0}
+            if b["low"] is not None:
+                now["turns"] += b["turns"] - (b["low"] == now["high"])
+                now["low"] = b["low"] if now["low"] is None else now["low"]
+                now["high"] = b["high"]
+            lengths = np.frombuffer(b["lengths"], np.int64).tolist()
+            for s, n in zip(b["symbols"], lengths):
+                _push(now["runs"], s, n)
+        if out:
+            yield full()
+            out.clear()
+    close()
+    if out:
+        yield full()
 
 
 def structure(rows: DataFrame) -> DataFrame:
@@ -323,10 +353,14 @@ def structure(rows: DataFrame) -> DataFrame:
     blocks = dealt.mapInArrow(
         _runs, f"conv {kind}, part int, low long, high long, turns long, symbols binary, lengths binary"
     )
-    return blocks.groupBy("conv").applyInArrow(
-        _solve,
-        f"conv {kind}, gaps long, blank long, duplicate long, truncated long, illegal long, "
-        "cost long, audit string",
+    # A number is given as the runs are small and their work is not.
+    return (
+        blocks.repartition(parts, "conv").sortWithinPartitions("conv", "part")
+        .mapInArrow(
+            _solve,
+            f"conv {kind}, gaps long, blank long, duplicate long, truncated long, illegal long, "
+            "cost long, audit string",
+        )
     )
 
 
