@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    conversations, decontaminate, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
+    conversations, decontaminate, hard_negatives, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
     url_filter,
 )
 from .tables import table
@@ -174,3 +174,30 @@ def op6_url_filter(spark, sf):
 def op11_conversations(spark, sf):
     rows = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     return conversations.repair_digest(conversations.damage(rows), rows)
+
+
+@query(
+    "op12_hard_negatives",
+    """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+      list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT * FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+    n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id,
+      p.score AS positive_score, s.score AS negative_score,
+      row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+      AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score,
+      negative_score FROM n WHERE rank <= 5""",
+)
+def op12_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        rows, "vec_id", "embedding", label, F.col("vec_id") % 100 == 0
+    )
