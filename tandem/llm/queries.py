@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    conversations, decontaminate, hard_negatives, langid, licenses, ngram_lm, packing, quality, secret_scan, simhash, token_counts,
-    url_filter,
+    conversations, decontaminate, hard_negatives, langid, licenses, ngram_join, ngram_lm, packing,
+    quality, secret_scan, simhash, token_counts, url_filter,
 )
 from .tables import table
 
@@ -201,3 +201,28 @@ def op12_hard_negatives(spark, sf):
     return hard_negatives.hard_negatives(
         rows, "vec_id", "embedding", label, F.col("vec_id") % 100 == 0
     )
+
+
+_FOLDED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+
+
+@query(
+    "op13_ngram_jaccard",
+    f"""WITH RECURSIVE d AS (SELECT doc_id,
+      regexp_extract_all({_FOLDED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i
+        FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * both >= 85 * (x.n + y.n - both)),
+    reach AS (SELECT doc_id, doc_id AS other FROM d
+      UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+    c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+    FROM c LEFT JOIN n USING (doc_id)""",
+)
+def op13_ngram_jaccard(spark, sf):
+    return ngram_join.jaccard_components(table(spark, sf, "documents", "doc_id", "text"))
