@@ -2,13 +2,15 @@
 
 A document's set has a 64-bit hash of each distinct run of ``WORDS`` words. Documents with
 equal sets are one class, named by a 128-bit digest, and only classes are joined. All sets
-share one order of their n-grams: those that few documents hold come first, by hash, then
-the common ones by their document counts. Two sets of a Jaccard similarity of ``percent``
+share one order of their n-grams, by their number in the corpus and then by hash, rare
+ones first. Two sets of a Jaccard similarity of ``percent``
 hundredths share an n-gram within their prefixes, the first n - ceil(percent n) + 1 of each.
 
-1. Document counts of all n-grams, gathered by ranges of the hash as packed sorted runs; the
-   ``COMMON`` most frequent ones, with their counts, are broadcast (a proven bound). What
-   that leaves out changes the order and so the cost, never the result.
+1. Counts of all n-grams are gathered by ranges of their hashes, as packed sorted runs that
+   each task makes of a chunk of its documents. The n-grams themselves, with the place of
+   their document in the chunk, then meet the counts of their range, and those that occur
+   more than once go back to their chunk. N-grams that occur once come first in every set
+   and meet nobody, so a document that has enough of them is done.
 2. The prefixes' n-grams meet. Within an n-gram, classes that pass the length and positional
    filters are linked by a spanning forest, so a group of m gives m - 1 links at most. An
    n-gram of more than ``RUN_ROWS`` classes is dealt by size and linked to one class of its
@@ -31,6 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +44,6 @@ from .tables import stage_table
 
 WORDS = 4
 PERCENT = 85
-#: N-grams whose counts are broadcast.
-COMMON = 1 << 20
 #: Classes of one n-gram that are linked in one group.
 RUN_ROWS = 16_384
 #: N-grams of sets that are compared in one group.
@@ -51,12 +52,13 @@ BLOCK_TOKENS = 4 << 20
 SHARED = 16
 #: Parts of the suffix filter.
 PARTS = 32
-#: N-grams counted in one range of hashes, and gathered in a task before they are sent.
-RANGE_TOKENS, SEND_TOKENS = 8 << 20, 4 << 20
+#: N-grams in one range of hashes, and in one chunk of documents, about.
+RANGE_TOKENS, CHUNK_TOKENS = 8 << 20, 4 << 20
 #: Most bits of the filter of linked classes; beyond it more sets are made in vain.
 FILTER_BITS = 1 << 27
 
-_COUNT_BITS = 40
+#: Bits by which n-grams are counted and ordered; the count is cut at that of two bytes.
+_BITS, _MOST = 40, 65_535
 
 
 def needed(n, percent: int):
@@ -128,7 +130,7 @@ def _classes(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, class string, n long")
 
 
-# --- document counts ----------------------------------------------------------------------
+# --- counts of n-grams --------------------------------------------------------------------
 
 
 def _pack(sorted_values: np.ndarray) -> bytes:
@@ -144,113 +146,231 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    wide = np.ascontiguousarray(values.astype(kind)).view(np.uint8)
+    wide = wide.reshape(len(values), np.dtype(kind).itemsize)
+    return np.ascontiguousarray(wide.T).tobytes()
+
+
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _chunks(batches, words: int, ranges: int):
+    """Chunks of a task's distinct sets."""
+    held, size = [], 0
+    for new in _distinct(batches, words):
+        held += new
+        size += sum(len(s) for _, s in new)
+        if size >= max(CHUNK_TOKENS, 16 * ranges):
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _by_range(values: np.ndarray, ranges: int) -> list[tuple[int, slice]]:
+    """The stretch of sorted values in each range of the hashes."""
+    at = (values // np.uint64(-(-(1 << _BITS) // ranges))).astype(np.int64)
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]])
+    return [(int(at[s]), slice(s, e)) for s, e in zip(edge[:-1], edge[1:])]
+
+
+def _short_tokens(sets: list) -> np.ndarray:
+    return np.concatenate([s for _, s in sets]) >> np.uint64(64 - _BITS)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal sorted values start."""
+    return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1])
+
+
 def _counts(texts: DataFrame, words: int, ranges: int) -> DataFrame:
-    """``token`` (the high 40 bits of a hash) and ``df`` of those in two sets or more."""
-    low_bits = np.uint64(64 - _COUNT_BITS)
-    width = np.uint64(-(-(1 << _COUNT_BITS) // ranges))
-
-    def sent(held):
-        values = np.sort(np.concatenate(held))
-        at = (values // width).astype(np.int64)
-        edge = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]])
-        rows = [(int(at[s]), _pack(values[s:e])) for s, e in zip(edge[:-1], edge[1:])]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r for r, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.binary())],
-            names=["range", "data"],
-        )
+    """By range: the n-grams that occur twice or more and their numbers, packed; ``size`` is
+    how many places the range has in all."""
 
     def gather(batches):
-        held, size = [], 0
-        for new in _distinct(batches, words):
-            held += [s >> low_bits for _, s in new]
-            size += sum(len(s) for _, s in new)
-            if size >= max(SEND_TOKENS, 16 * ranges):
-                yield sent(held)
-                held, size = [], 0
-        if held:
-            yield sent(held)
+        for sets in _chunks(batches, words, ranges):
+            values = np.sort(_short_tokens(sets))
+            first = _runs(values)
+            n = np.minimum(np.diff(np.append(first, len(values))), _MOST)
+            values = values[first]
+            rows = [(r, _pack(values[p]), _planes(n[p], "<u2")) for r, p in _by_range(values, ranges)]
+            columns = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                names=["range", "data", "n"],
+            )
 
     def count(group: pa.Table) -> pa.Table:
-        values = np.sort(np.concatenate([_unpack(d) for d in group.column("data").to_pylist()]))
-        edge = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
-        df = np.diff(edge)
-        many = df > 1
+        values = np.concatenate([_unpack(d) for d in group.column("data").to_pylist()])
+        n = np.concatenate([_from_planes(d, "<u2") for d in group.column("n").to_pylist()])
+        order = np.argsort(values, kind="stable")
+        values, n = values[order], n[order].astype(np.int64)
+        first = _runs(values)
+        n = np.add.reduceat(n, first)
+        many = n > 1
         return pa.table(
-            {"token": values[edge[:-1][many]].astype(np.int64), "df": df[many].astype(np.int64)}
+            {
+                "range": group.column("range").slice(0, 1), "size": [int(n.sum())],
+                "data": pa.array([_pack(values[first[many]])], pa.binary()),
+                "n": pa.array([_planes(np.minimum(n[many], _MOST), "<u2")], pa.binary()),
+            }
         )
 
-    rows = texts.mapInArrow(gather, "range long, data binary")
-    return rows.groupBy("range").applyInArrow(count, "token long, df long")
-
-
-def _common(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams, at most ``most``: sorted tokens and their counts."""
-    level = F.floor(F.log2("df") * 16).cast("int")
-    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()
-    least, total = None, 0
-    for row in sorted(levels, reverse=True):
-        total += row.n
-        if total > most:
-            break
-        least = row.level
-    if least is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    rows = counts.where(level >= least).toArrow()
-    token, df = rows.column("token").to_numpy(), rows.column("df").to_numpy()
-    order = np.argsort(token)
-    return token[order], df[order]
+    rows = texts.mapInArrow(gather, "range long, data binary, n binary")
+    return rows.groupBy("range").applyInArrow(count, "range long, size long, data binary, n binary")
 
 
-# --- candidates ---------------------------------------------------------------------------
-
-
-def prefix(tokens: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """Places of a sorted set's prefix n-grams, rarest first."""
-    size = len(tokens) - needed(len(tokens), percent) + 1
-    key = (rank.astype(np.uint64) << np.uint64(43)) | (tokens >> np.uint64(21))
-    return np.argsort(key, kind="stable")[:size]
+_PLACES = "range long, chunk long, data binary, at binary"
 
 
-def _postings(texts: DataFrame, common: tuple, words: int, percent: int, run_rows: int) -> DataFrame:
-    """Prefix n-grams of the classes: token, class, size, place, and whether the n-gram is
-    known to have many classes."""
-    token, df = common
-    by_df = np.empty(len(df), dtype=np.int64)
-    by_df[np.argsort(df, kind="stable")] = np.arange(1, len(df) + 1)
+def _places(texts: DataFrame, words: int, ranges: int) -> DataFrame:
+    """By chunk and range: sorted n-grams and the places of their documents in the chunk.
+    Range -1 has the chunk's list of documents, their short digests and sizes."""
 
     def run(batches):
-        for new in _distinct(batches, words):
-            flat = np.concatenate([s for _, s in new])
-            short = (flat >> np.uint64(64 - _COUNT_BITS)).astype(np.int64)
-            at = np.minimum(np.searchsorted(token, short), max(0, len(token) - 1))
-            known = token[at] == short if len(token) else np.zeros(len(flat), bool)
-            rank = np.where(known, by_df[at], 0) if len(token) else np.zeros(len(flat), np.int64)
-            hot = known & (df[at] > run_rows) if len(token) else known
-            start, picked, place = 0, [], []
-            sizes = np.array([len(s) for _, s in new])
-            for n in sizes.tolist():
-                got = prefix(flat[start : start + n], rank[start : start + n], percent)
-                picked.append(start + got)
-                place.append(np.arange(len(got)))
-                start += n
-            kept = np.array([len(p) for p in picked])
-            picked = np.concatenate(picked)
+        task = TaskContext.get().partitionId()
+        for number, sets in enumerate(_chunks(batches, words, ranges)):
+            values = _short_tokens(sets)
+            sizes = np.array([len(s) for _, s in sets])
+            order = np.argsort(values, kind="stable")
+            values, at = values[order], np.repeat(np.arange(len(sets)), sizes)[order]
+            short = _short([d for d, _ in sets])
+            rows = [(-1, short.tobytes(), sizes.astype("<i8").tobytes())]
+            rows += [(r, _pack(values[p]), _planes(at[p], "<u4")) for r, p in _by_range(values, ranges)]
+            columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(flat[picked].view(np.int64)),
-                    pa.array(np.repeat(_short([d for d, _ in new]), kept)),
-                    pa.array(np.repeat(sizes, kept).astype(np.int32)),
-                    pa.array(np.concatenate(place).astype(np.int32)), pa.array(hot[picked]),
+                    pa.array(columns[0], pa.int64()),
+                    pa.array([(task << 24) + number] * len(rows), pa.int64()),
+                    *[pa.array(c, pa.binary()) for c in columns[1:]],
                 ],
-                names=["token", "short", "n", "pos", "hot"],
+                names=["range", "chunk", "data", "at"],
             )
 
-    return texts.mapInArrow(run, "token long, short long, n int, pos int, hot boolean")
+    return texts.mapInArrow(run, _PLACES)
+
+
+_KNOWN = "chunk long, range long, data binary, at binary, n binary"
+
+
+def _known(places: DataFrame, counts: DataFrame) -> DataFrame:
+    """What occurs more than once of each chunk's n-grams, with its number.
+
+    The counts of a range come first, then its chunks one by one, so a task holds the counts
+    of one range. A range with many places, as a frequent n-gram makes, is dealt to several.
+    """
+
+    def run(batches):
+        now, tokens, numbers = None, None, None
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                if row["range"] < 0:
+                    rows.append((row["chunk"], -1, row["data"], row["at"], b""))
+                    continue
+                if row["chunk"] is None:
+                    now, tokens = row["range"], _unpack(row["data"])
+                    numbers = _from_planes(row["at"], "<u2")
+                    continue
+                if now != row["range"] or not len(tokens):
+                    continue
+                values = _unpack(row["data"])
+                spot = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+                many = tokens[spot] == values
+                if many.any():
+                    at = _from_planes(row["at"], "<u4")[many]
+                    n = numbers[spot[many]]
+                    rows.append(
+                        (row["chunk"], row["range"], _pack(values[many]), _planes(at, "<u4"), _planes(n, "<u2"))
+                    )
+            if rows:
+                columns = list(zip(*rows))
+                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types)],
+                    names=["chunk", "range", "data", "at", "n"],
+                )
+
+    # No more ranges are large than there are places for.
+    large = counts.where(F.col("size") > 4 * RANGE_TOKENS).select(
+        "range", F.ceil(F.col("size") / (2 * RANGE_TOKENS)).alias("salts")
+    )
+    deal = F.coalesce("salts", F.lit(1).cast("long"))
+    left = places.join(F.broadcast(large), "range", "left").select(
+        "range", "chunk", "data", "at", F.pmod(F.xxhash64("chunk"), deal).alias("salt")
+    )
+    right = counts.join(F.broadcast(large), "range", "left").select(
+        "range", F.lit(None).cast("long").alias("chunk"), "data", F.col("n").alias("at"),
+        F.explode(F.sequence(F.lit(0).cast("long"), deal - 1)).alias("salt"),
+    )
+    # A list of documents goes with its chunk, not to the one range -1.
+    key = [F.when(F.col("range") >= 0, F.col("range")).otherwise(-1 - F.col("chunk")), F.col("salt")]
+    both = left.unionByName(right).repartition(*key)
+    return both.sortWithinPartitions("range", "salt", F.col("chunk").asc_nulls_first()).mapInArrow(
+        run, _KNOWN
+    )
+
+
+# --- candidates ---------------------------------------------------------------------------
+
+
+def prefixes(
+    place: np.ndarray, token: np.ndarray, n: np.ndarray, sizes: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which n-grams are in the prefix of their document, and their places in its order.
+
+    ``place`` (of the document), ``token`` and ``n`` tell all n-grams that occur more than
+    once; ``sizes`` are those of all documents. Returns indices into them and places.
+    """
+    order = np.lexsort((token, n, place))
+    listed = np.bincount(place, minlength=len(sizes))
+    once = sizes - listed
+    pos = np.arange(len(place)) - np.repeat(np.cumsum(listed) - listed, listed)
+    pos += np.repeat(once, listed)
+    in_order = place[order]
+    inside = pos <= (sizes - needed(sizes, percent))[in_order]
+    # N-grams that look alike in 40 bits are in or out together.
+    for i in np.flatnonzero(~inside):
+        if i and inside[i - 1] and in_order[i - 1] == in_order[i] and token[order[i - 1]] == token[order[i]]:
+            inside[i] = True
+    return order[inside], pos[inside]
+
+
+def _postings(known: DataFrame, percent: int, run_rows: int) -> DataFrame:
+    """Prefix n-grams that occur more than once: token, class, size, place, and whether the
+    n-gram has many places."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        names = [r for r in rows if r["range"] < 0]
+        rows = [r for r in rows if r["range"] >= 0]
+        short = np.frombuffer(names[0]["data"], "<i8")
+        sizes = np.frombuffer(names[0]["at"], "<i8")
+        many = lambda key, read: np.concatenate([read(r[key]) for r in rows] or [np.zeros(0, int)])
+        token = many("data", _unpack).astype(np.int64)
+        place = many("at", lambda d: _from_planes(d, "<u4")).astype(np.int64)
+        n = many("n", lambda d: _from_planes(d, "<u2")).astype(np.int64)
+        got, pos = prefixes(place, token, n, sizes, percent)
+        at = place[got]
+        return pa.table(
+            {
+                "token": token[got], "short": short[at], "n": sizes[at].astype(np.int32),
+                "pos": pos.astype(np.int32), "hot": n[got] > run_rows,
+            }
+        )
+
+    return known.groupBy("chunk").applyInArrow(
+        run, "token long, short long, n int, pos int, hot boolean"
+    )
 
 
 def may_link(n, pos, m, other, percent: int):
-    """Length and positional filter of two sets that share the n-gram at these places."""
-    most = np.minimum(pos, other) + 1 + np.minimum(n - pos - 1, m - other - 1)
+    """Length and positional filter of two sets that share the n-gram at these places (two
+    more are allowed for n-grams that look alike in 40 bits)."""
+    most = np.minimum(pos, other) + 3 + np.minimum(n - pos - 1, m - other - 1)
     fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
     return fits & (most >= pair_overlap(n, m, percent))
 
@@ -325,19 +445,18 @@ def _hot_links(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_links(
-    texts: DataFrame, common: tuple, words: int, percent: int, run_rows: int
+    texts: DataFrame, ranges: int, words: int, percent: int, run_rows: int
 ) -> DataFrame:
     """Links (a, b) of classes that connect at least all pairs of linked sets."""
-    postings = _postings(texts, common, words, percent, run_rows)
-    schema = "a long, b long"
-    rows = postings.where("not hot").drop("hot")
+    counts = stage_table(_counts(texts, words, ranges), "ngram_counts")
+    known = _known(_places(texts, words, ranges), counts)
+    postings = stage_table(_postings(known, percent, run_rows), "prefix_ngrams")
+    rows = postings.where("not hot")
     links = (
         rows.repartition("token").sortWithinPartitions("token", "n")
-        .mapInArrow(_meet(percent, run_rows), schema)
+        .mapInArrow(_meet(percent, run_rows), "a long, b long")
     )
-    if len(common[1]) and common[1].max() > run_rows:
-        links = links.unionByName(_hot_links(postings.where("hot"), percent))
-    return links
+    return links.unionByName(_hot_links(postings.where("hot"), percent))
 
 
 # --- verification -------------------------------------------------------------------------
@@ -508,13 +627,15 @@ def _connected(sets: DataFrame, percent: int, block_tokens: int) -> DataFrame:
 
 def similar_classes(
     texts: DataFrame, n_tokens: int, *, words: int = WORDS, percent: int = PERCENT,
-    common: int = COMMON, run_rows: int = RUN_ROWS, block_tokens: int = BLOCK_TOKENS,
+    run_rows: int = RUN_ROWS, block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """``node`` and ``root``, the least class of its component, of each class that is linked
     and not the root itself. ``n_tokens``: about how many n-grams the ``text`` s have."""
-    counts = stage_table(_counts(texts, words, max(16, -(-n_tokens // RANGE_TOKENS))), "ngram_counts")
-    known = _common(counts, common)
-    links = stage_table(candidate_links(texts, known, words, percent, run_rows), "candidates")
+    if run_rows > _MOST:
+        raise ValueError(f"run_rows is {_MOST} at most")
+    ranges = max(16, -(-n_tokens // RANGE_TOKENS))
+    links = candidate_links(texts, ranges, words, percent, run_rows)
+    links = stage_table(links, "candidates")
     rooted = components(links)
     rooted = rooted.unionByName(
         rooted.select(F.col("root").alias("node"), "root").distinct()

@@ -214,10 +214,10 @@ _FOLDED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i
         FROM d WHERE len(w) > 0)),
     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
       FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
     links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-      WHERE 100 * both >= 85 * (x.n + y.n - both)),
+      WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
     reach AS (SELECT doc_id, doc_id AS other FROM d
       UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
     c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
