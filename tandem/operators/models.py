@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import warnings
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, VectorAssembler
@@ -15,11 +17,14 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..plans.staging import stage_table
 from . import metrics as mt
+from . import newton
 
 # Labelled rows that the text models are fitted on; the vocabulary, which the driver
 # holds, is bounded with them and is never cut.
 TRAIN_ROWS = 200_000
 _NO_CUT = 2**31 - 1
+# Steps of the first fit from which Newton's method goes on.
+WARM_STEPS = 150
 
 
 def balanced_weight(df: DataFrame, label: str, weight: str | None = None) -> Column:
@@ -61,6 +66,33 @@ def fit_logistic(
     return model
 
 
+def fit_optimum(
+    df: DataFrame, features: str, label: str, balanced: bool = True, max_iter: int = 1000,
+    tol: float = 1e-6,
+):
+    """The same regression on sparse vectors of many terms, to a gradient below ``tol``.
+
+    Spark's own fit of a few steps is the start of Newton's method.
+    """
+    w = balanced_weight(df, label) if balanced else F.lit(1.0)
+    data = df.select(
+        F.col(features).alias("features"), F.col(label).cast("double").alias("label"),
+        w.cast("double").alias("weight"),
+    )
+    data = stage_table(data, "labelled_vectors")
+    n = data.agg(F.sum("weight")).first()[0]
+    first = LogisticRegression(
+        weightCol="weight", regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
+        maxIter=WARM_STEPS,
+    ).fit(data)
+    start = np.append(first.coefficients.toArray(), first.intercept)
+    blocks = newton.pack(data, len(start) - 1)
+    found = newton.fit(blocks, len(start) - 1, 1.0, tol, max_iter, start)
+    if found.gradient > tol:
+        warnings.warn(f"the gradient is {found.gradient:.1e} after {found.steps} steps")
+    return found.model(df.sparkSession)
+
+
 def training_sample(df: DataFrame, text: str, max_rows: int = TRAIN_ROWS) -> DataFrame:
     """All rows if there are at most ``max_rows``, else about that many, chosen by a hash
     of the text; equal texts are kept or left together."""
@@ -118,12 +150,30 @@ class TextClassifier:
     def fit(self, df: DataFrame, text: str, label: str) -> "TextClassifier":
         df = training_sample(df, text)
         self.fit_vectors(df, text)
-        self.model = fit_logistic(
-            self.vectorize(df, text), "features", label,
-            balanced=False, max_iter=self.max_iter, tol=1e-5,
+        self.model = fit_optimum(
+            self.vectorize(df, text), "features", label, balanced=False, max_iter=self.max_iter
         )
         return self
 
+    def stationarity(self, df: DataFrame, row_id: str, text: str, label: str) -> DataFrame:
+        """``stationarity`` of the fit on the rows it was fitted on."""
+        terms = self._terms(df, text)
+        n = df.count()
+        values = terms.select(F.col(row_id).alias("row"), F.explode("_terms").alias("term")).groupBy(
+            "row", "term"
+        ).agg(F.count("*").alias("tf"))
+        values = stage_table(values, "term_counts")
+        idf = values.groupBy("term").agg((F.log((n + 1) / (F.count("*") + 1)) + 1).alias("idf"))
+        values = values.join(idf, "term").select("row", "term", (F.col("tf") * F.col("idf")).alias("x"))
+        norms = values.groupBy("row").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+        values = values.join(norms, "row").select("row", "term", (F.col("x") / F.col("norm")).alias("value"))
+        rows = df.select(
+            F.col(row_id).alias("row"), F.col(label).cast("double").alias("label"),
+            F.lit(1.0).alias("weight"),
+        )
+        known = _coefficients(self.model, self.vectorizer.stages[0].vocabulary)
+        return stationarity(rows, values, known, self.model.intercept)
+
     def fit_lists(self, spark, lines: list[str], labels: list[bool]) -> "TextClassifier":
         if len(lines) != len(labels):
             raise ValueError("every line needs exactly one label")
@@ -164,7 +214,7 @@ class WordModel:
     def fit(self, df: DataFrame, text: str, label: str) -> "WordModel":
         terms = self._terms(training_sample(df, text), text)
         self.counter = _vocabulary(terms, "_terms", self.min_df)
-        self.model = fit_logistic(
+        self.model = fit_optimum(
             self.counter.transform(terms), "_tf", label, max_iter=self.max_iter
         )
         return self
@@ -183,11 +233,57 @@ class WordModel:
 
     def coefficients(self) -> DataFrame:
         """(word, coefficient) of the vocabulary."""
-        from pyspark.sql import SparkSession
+        return _coefficients(self.model, self.counter.vocabulary).withColumnRenamed("term", "word")
+
+    def stationarity(self, df: DataFrame, row_id: str, text: str, label: str) -> DataFrame:
+        """``stationarity`` of the fit on the rows it was fitted on."""
+        rows = self._terms(df, text).select(
+            F.col(row_id).alias("row"), "_terms", F.col(label).cast("double").alias("label"),
+            balanced_weight(df, label).alias("weight"),
+        )
+        values = rows.select("row", F.explode("_terms").alias("term")).groupBy("row", "term").agg(
+            F.count("*").cast("double").alias("value")
+        )
+        known = _coefficients(self.model, self.counter.vocabulary)
+        return stationarity(rows.drop("_terms"), values, known, self.model.intercept)
+
+
+def _coefficients(model, vocabulary: list[str]) -> DataFrame:
+    """(term, coefficient). Both are as long as the vocabulary, which the driver holds."""
+    from pyspark.sql import SparkSession
+
+    weights = pa.array(model.coefficients.toArray(), pa.float64())
+    local = pa.table({"term": pa.array(vocabulary, pa.string()), "coefficient": weights})
+    return SparkSession.getActiveSession().createDataFrame(local)
+
+
+def stationarity(
+    rows: DataFrame, values: DataFrame, coefficients: DataFrame, intercept: float,
+    penalty: float = 1.0,
+) -> DataFrame:
+    """What is left of the gradient of a penalised logistic regression, term by term, from
+    nothing but the coefficients: (term, n_rows, residual), zero at the optimum.
 
-        weights = self.model.coefficients.toArray()
-        rows = [(w, float(c)) for w, c in zip(self.counter.vocabulary, weights)]
-        return SparkSession.getActiveSession().createDataFrame(rows, "word string, coefficient double")
+    ``rows`` has (row, label, weight), ``values`` (row, term, value), ``coefficients`` (term,
+    coefficient). The intercept's part has the term ``(intercept)``.
+    """
+    values = stage_table(values, "term_values")
+    z = values.join(coefficients, "term").groupBy("row").agg(
+        F.sum(F.col("value") * F.col("coefficient")).alias("z")
+    )
+    p = 1 / (1 + F.exp(-(F.coalesce("z", F.lit(0.0)) + intercept)))
+    slopes = rows.join(z, "row", "left").select(
+        "row", (F.col("weight") * (p - F.col("label"))).alias("slope")
+    )
+    slopes = stage_table(slopes, "slopes")
+    terms = values.join(slopes, "row").groupBy("term").agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("value") * F.col("slope")).alias("pull")
+    )
+    left = terms.join(coefficients, "term", "full").select(
+        "term", "n_rows", (F.col("pull") + penalty * F.col("coefficient")).alias("residual")
+    )
+    whole = slopes.agg(F.count("*").alias("n_rows"), F.sum("slope").alias("residual"))
+    return left.unionByName(whole.select(F.lit("(intercept)").alias("term"), "n_rows", "residual"))
 
 
 def worst_words(coefficients: DataFrame, k: int = 3) -> DataFrame:
