@@ -24,7 +24,7 @@ from . import newton
 TRAIN_ROWS = 200_000
 _NO_CUT = 2**31 - 1
 # Steps of the first fit from which Newton's method goes on.
-WARM_STEPS = 150
+WARM_STEPS = 30
 
 
 def balanced_weight(df: DataFrame, label: str, weight: str | None = None) -> Column:

@@ -167,14 +167,15 @@ def _sigmoid(z):
     return np.where(z >= 0, 1.0, np.exp(-np.abs(z))) / (1 + np.exp(-np.abs(z)))
 
 
-def _direction(problem: Problem, w, g, diagonal, radius: float, limit: int):
+def _direction(problem: Problem, w, g, diagonal, radius: float, limit: int, tol: float):
     """Steihaug's conjugate gradients: a step within the radius, and the model's gain."""
     scale = 1 / np.maximum(diagonal, 1e-12)
     norm = lambda x: np.sqrt(float(x @ (x / scale)))
     step, left = np.zeros_like(w), -g
     z = left * scale
     d, gain = z.copy(), float(left @ z)
-    enough = min(0.1, np.sqrt(np.abs(g).max())) * np.linalg.norm(g)
+    # No step is solved further than the fit is to go.
+    enough = max(min(0.1, np.sqrt(np.abs(g).max())) * np.linalg.norm(g), 0.3 * tol)
     for _ in range(limit):
         if np.linalg.norm(left) <= enough:
             break
@@ -205,7 +206,7 @@ def fit(
     radius, steps = np.inf, 0
     while np.abs(g).max() > tol and steps < max_steps:
         steps += 1
-        step, expected, length = _direction(problem, w, g, diagonal, radius, 2 * size + 20)
+        step, expected, length = _direction(problem, w, g, diagonal, radius, 2 * size + 20, tol)
         new = problem.at(w + step)
         gained = loss - new[0]
         # Close to the optimum the loss is flat to rounding, and the gradient decides.

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +12,6 @@ from ..plans.sizing import fits_broadcast
 from ..plans.skew import heavy_keys, lookup, salted_join
 from ..plans.staging import stage_table
 
-# Query rows one dense pass may hold in each task; more queries mean more passes.
-QUERY_BLOCK = 2_000
-
 
 def corpus(df: DataFrame, title: str, text: str) -> DataFrame:
     """Indexed text of a titled document: title, a full stop, then the text."""
@@ -263,77 +258,3 @@ def prompts(
             ).alias("prompt"),
         )
     )
-
-
-def dense_topk(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int = 3,
-    doc: str = "vec_id",
-    vector: str = "embedding",
-    query_id: str = "query_id",
-) -> DataFrame:
-    """Exact cosine top-k over ``ARRAY<FLOAT>`` columns: (query, doc, score, rank).
-
-    Query vectors are handed to the tasks in blocks of a fixed size and multiplied
-    with whole Arrow batches; each batch keeps its k best documents per query, so the
-    shuffle carries k rows per query and batch rather than a score per pair.
-    """
-    spark = vectors.sparkSession
-    q = queries.select(F.col(query_id), F.col(vector).alias("_q"))
-    doc_type = vectors.schema[doc].dataType.simpleString()
-    qid_type = queries.schema[query_id].dataType.simpleString()
-    blocks = _query_blocks(q, query_id)
-    out = None
-    for ids, matrix in blocks:
-        part = vectors.select(doc, vector).mapInPandas(
-            _score_block(ids, matrix, k, doc, vector, query_id),
-            f"{query_id} {qid_type}, {doc} {doc_type}, score double",
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame(
-            [], f"{query_id} {qid_type}, {doc} {doc_type}, score double, rank int"
-        )
-    best = Window.partitionBy(query_id).orderBy(F.round("score", 9).desc(), doc)
-    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-
-def _query_blocks(q: DataFrame, query_id: str):
-    """Query vectors in blocks of at most QUERY_BLOCK rows, read one at a time."""
-    n_blocks = -(-q.count() // QUERY_BLOCK)
-    for b in range(n_blocks):
-        rows = (
-            q
-            if n_blocks == 1
-            else q.where(F.pmod(F.xxhash64(query_id), F.lit(n_blocks)) == b)
-        ).collect()
-        if not rows:
-            continue
-        m = np.array([r["_q"] for r in rows], dtype="float64")
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        yield [r[query_id] for r in rows], np.divide(
-            m, norm, out=np.zeros_like(m), where=norm > 0
-        )
-
-
-def _score_block(ids, matrix, k, doc, vector, query_id):
-    def score(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vector].to_numpy()).astype("float64")
-            norm = np.linalg.norm(x, axis=1, keepdims=True)
-            x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-            s = np.round(x @ matrix.T, 12)
-            docs = pdf[doc].to_numpy()
-            top = [np.lexsort((docs, -np.round(s[:, j], 9)))[:k] for j in range(len(ids))]
-            yield pd.DataFrame(
-                {
-                    query_id: np.repeat(np.asarray(ids), [len(t) for t in top]),
-                    doc: np.concatenate([docs[t] for t in top]),
-                    "score": np.concatenate([s[t, j] for j, t in enumerate(top)]),
-                }
-            )
-
-    return score

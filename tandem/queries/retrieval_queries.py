@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..operators import dense as dn
 from ..operators import retrieval as rt
 from ..plans.sizing import fits_broadcast
 from ..plans.staging import stage_table
@@ -187,6 +188,6 @@ def centroids(spark, sf):
 )
 def dense_topk(spark, sf):
     vectors = table(spark, sf, "embeddings", "vec_id", "embedding")
-    return rt.dense_topk(vectors, centroids(spark, sf), 5).select(
+    return dn.dense_topk(vectors, centroids(spark, sf), 5).select(
         "query_id", "rank", "vec_id", r6("score")
     )

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import tandem.operators.dense as dn
 import tandem.operators.retrieval as rt
 from tandem.functions import text as tx
 
@@ -109,13 +110,35 @@ def test_dense_blocks(spark, monkeypatch):
     unit = lambda m: np.divide(m, np.linalg.norm(m, axis=1, keepdims=True), out=np.zeros_like(m), where=np.linalg.norm(m, axis=1, keepdims=True) > 0)
     s = np.round(unit(q) @ unit(x32).T, 9)
     want = {i: [int(j) for j in np.lexsort((np.arange(60), -s[i]))[:4]] for i in range(9)}
-    for block in (2000, 4):
-        monkeypatch.setattr(rt, "QUERY_BLOCK", block)
-        rows = rt.dense_topk(vec, qs, 4).orderBy("query_id", "rank").collect()
+    for block, clusters in ((512, 64), (2, 3), (512, 1)):
+        monkeypatch.setattr(dn, "QUERY_BLOCK", block)
+        monkeypatch.setattr(dn, "HELD", 10 * block)
+        rows = dn.dense_topk(vec, qs, 4, clusters=clusters).orderBy("query_id", "rank").collect()
         got = {}
         for r in rows:
             got.setdefault(r.query_id, []).append(r.vec_id)
         assert got == want
+    assert dn.dense_topk(vec.where("false"), qs, 4).collect() == []
+    assert dn.dense_topk(vec, qs.where("false"), 4).columns == ["query_id", "vec_id", "score", "rank"]
+
+
+def test_dense_skips_far_clusters(spark):
+    """Clustered vectors with copies: most clusters are never read, and no neighbour is lost."""
+    rng = np.random.default_rng(6)
+    heads = rng.normal(size=(30, 16))
+    x = np.repeat(heads, 40, axis=0) + 0.05 * rng.normal(size=(1200, 16))
+    x[5:25] = x[4]
+    q = x[::60] + 0.01 * rng.normal(size=(20, 16))
+    vec = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    vec = vec.unionByName(spark.createDataFrame([(9999, None)], vec.schema))
+    qs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id long, embedding array<double>")
+    s = np.round(dn.unit(q) @ dn.unit(x).T, 9)
+    want = {(i, int(j), r) for i in range(20) for r, j in enumerate(np.lexsort((np.arange(1200), -s[i]))[:10], 1)}
+    rows = dn.dense_topk(vec, qs, 10, clusters=30).collect()
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in rows} == want
+    left_out = dn.skipped(vec, qs, 10, clusters=30).collect()
+    share = sum(r.vectors_skipped for r in left_out) / sum(r.n_vectors for r in left_out)
+    assert len(left_out) == 20 and share > 0.5
 
 
 def test_idf_formula(docs):
