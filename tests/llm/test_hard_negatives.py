@@ -61,7 +61,7 @@ def clustered(n, seed, spread=0.3):
 
 
 @pytest.mark.parametrize(
-    "how", [{}, {"chunk": 37}, {"chunk": 16, "head_chunks": 3}, {"anchor_block": 7}, {"clusters": 1}]
+    "how", [{}, {"chunk": 16, "head_chunks": 3}, {"chunk": 37, "anchor_block": 20, "clusters": 1}]
 )
 def test_equals_all_products(spark, how):
     rows = clustered(600, 3)
