@@ -155,6 +155,20 @@ def score_stream(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("score_served", _SCORE_SQL)
+def score_served(spark, sf):
+    """The same requests, each sent twice and answered once."""
+    inbox, out, state = (scratch_path(spark, n) for n in ("inbox", "served", "state"))
+    rows = request_rows(spark, sf).select(
+        "request_id", "raw", F.timestamp_seconds(F.lit(1_000_000)).alias("arrived")
+    )
+    rows.write.parquet(inbox)
+    rows.write.mode("append").parquet(inbox)
+    stream = st.once_each(st.arriving_requests(spark, inbox))
+    st.serve_available(stream, COEF, INTERCEPT, out, state)
+    return st.served(spark, out)
+
+
 @query(
     "pair_confusion",
     f"""WITH {MATCH_CTE}, f AS {LISTED_SQL},

@@ -180,3 +180,42 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = st.score_stream(df, coef, -5.0)
     assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
     assert st.quarantine_stream(df).count() == 11
+
+
+def test_replayed_batch_leaves_one_answer_each(spark, tmp_path, monkeypatch):
+    """The second batch fails after its answers and before its quarantine; it runs again."""
+    from tandem.streaming import scoring as st
+
+    coef = (8.0, -1.0, 0.3, 0.0)
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows = [(str(i), raw) for i, raw, _ in RAW] + [(None, "no id"), (None, "none either")]
+    df = spark.createDataFrame(rows, st.REQUEST_FILE).withColumn("arrived", F.timestamp_seconds(F.lit(1_000_000)))
+    # Every request comes three times, in files of their own and within one file.
+    df.coalesce(1).write.parquet(inbox)
+    df.unionByName(df).coalesce(1).write.mode("append").parquet(inbox)
+    later = df.withColumn("request_id", F.concat(F.lit("b"), "request_id"))
+    later.coalesce(1).write.mode("append").parquet(inbox)
+    write, calls = st._write_batch, []
+
+    def failing(rows, folder, batch):
+        calls.append((folder.rsplit("/", 1)[1], batch))
+        if calls.count(("quarantine", 1)) == 1 and calls[-1] == ("quarantine", 1):
+            raise RuntimeError("lost")
+        write(rows, folder, batch)
+
+    monkeypatch.setattr(st, "_write_batch", failing)
+    run = lambda: st.serve_available(
+        st.once_each(st.arriving_requests(spark, inbox, 1)), coef, -5.0, out, state
+    )
+    with pytest.raises(Exception):
+        run()
+    run()
+    assert calls.count(("answers", 1)) == 2 and calls.count(("answers", 0)) == 1
+    both = df.select("request_id", "raw").unionByName(later.where("request_id is not null").select("request_id", "raw"))
+    want = st.score_stream(both, coef, -5.0)
+    assert sorted(st.served(spark, out).collect()) == sorted(want.collect())
+    bad = [(r.request_id, r.raw) for r in st.served(spark, out, "quarantine").collect()]
+    key = lambda r: (r[0] or "", r[1] or "")
+    assert sorted(bad, key=key) == sorted(
+        ((r.request_id, r.raw) for r in st.quarantine_stream(both).collect()), key=key
+    )
