@@ -182,7 +182,7 @@ def _shares(counts: DataFrame, by: list[str], name: str, bins: int) -> DataFrame
     )
 
 
-def _psi(p: str, q: str) -> Column:
+def _psi(p: str, q: str | Column) -> Column:
     return F.aggregate(
         F.zip_with(p, q, lambda a, b: (b - a) * F.log(b / a)),
         F.lit(0.0),
@@ -197,6 +197,29 @@ def status(psi: Column) -> Column:
     )
 
 
+def reference_bins(
+    reference: DataFrame, feature: str = "feature", value: str = "value", bins: int = BINS
+) -> DataFrame:
+    """(feature, edges, shares) of the reference: all that a later comparison needs of it.
+
+    One row a feature, kept as a local table where there are few of them.
+    """
+    edges = quantile_edges(reference, feature, value, bins)
+    pinned = pin_small(edges)
+    edges = edges if pinned is None else pinned
+    shares = _shares(bin_counts(reference, edges, [], feature, value), [feature], "shares", bins)
+    table = edges.join(shares, feature)
+    pinned = pin_small(table)
+    return table if pinned is None else pinned
+
+
+def psi_of_counts(shares: str, counts: str) -> Column:
+    """PSI of an array of bin counts against the reference's shares, NULL without either."""
+    n = F.aggregate(F.col(counts), F.lit(0).cast("bigint"), lambda a, c: a + c)
+    floored = F.transform(counts, lambda c: F.greatest(c / n, F.lit(FLOOR)))
+    return _psi(shares, floored)
+
+
 def drift_report(
     reference: DataFrame,
     production: DataFrame,

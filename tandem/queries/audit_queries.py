@@ -13,7 +13,7 @@ from ..operators import registry as rg
 from ..operators.attention import group_softmax, self_attention
 from ..plans.staging import scratch_path, stage_table
 from ..sources.tables import documents, spread, table
-from ..streaming.drift import day_window, window_bin_counts
+from ..streaming.drift import day_outcomes, day_window, report_available, reports, window_bin_counts
 from ..streaming.scoring import run_available
 from .base import LABELLED_SQL, LISTED_SQL, MATCH_CTE, NOT_WORD, labelled, query, r6, sql_collapse
 from .match_queries import scored_pairs
@@ -306,6 +306,32 @@ def drift_stream(spark, sf):
     return spark.read.schema("day string, feature string, bin int, c long").parquet(out)
 
 
+@query(
+    "drift_day_reports",
+    f"""WITH {EVENTS_CTE},
+    pc AS (SELECT strftime(ts, '%Y-%m-%d') AS day, r.feature,
+        len(list_filter(e, lambda x: r.value >= x)) AS bin, count(*) AS c
+      FROM prod r JOIN edges ON r.feature = edges.feature
+      WHERE r.value IS NOT NULL AND date_trunc('day', ts) + INTERVAL 1 DAY
+        <= (SELECT max(ts) FROM prod WHERE value IS NOT NULL) - INTERVAL 1 HOUR GROUP BY ALL),
+    days AS (SELECT day, feature, sum(c)::BIGINT AS n FROM pc GROUP BY ALL),
+    ps AS (SELECT d.day, s.feature, s.bin, d.n, greatest(coalesce(c, 0) / d.n::DOUBLE, 1e-4) AS q
+      FROM days d JOIN spine s ON s.feature = d.feature
+      LEFT JOIN pc ON pc.day = d.day AND pc.feature = s.feature AND pc.bin = s.bin),
+    report AS (SELECT day, rs.feature, n, sum((q - p) * ln(q / p)) AS psi
+      FROM rs JOIN ps ON rs.feature = ps.feature AND rs.bin = ps.bin GROUP BY ALL)
+    SELECT day, feature, n, round(psi, 6) AS psi, {_STATUS} AS status FROM report""",
+)
+def drift_day_reports(spark, sf):
+    """PSI of each production day, reported by the stream when the watermark closes the day."""
+    ref, prod = drift_samples(spark, sf)
+    inbox, out, state = (scratch_path(spark, n) for n in ("events", "reports", "state"))
+    prod.write.parquet(inbox)
+    stream = spark.readStream.schema(prod.schema).parquet(inbox)
+    report_available(day_outcomes(stream, dr.reference_bins(ref)), out, state)
+    return reports(spark, out).select("day", "feature", "n", r6("psi"), "status")
+
+
 # ---- gates --------------------------------------------------------------------------------
 
 _GATE_DATA_SQL = f"""SELECT 'data_gate' AS name,
