@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import re
 from datetime import datetime, timezone
+from urllib.parse import unquote, urlparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,8 +82,51 @@ def registry_report(versions: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def put_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, or return False if it is there already.
+
+    Of several writers at once, on one machine or on many, exactly one gets True. Stores that
+    Hadoop reaches create a file without overwriting in one step; its local file system looks
+    first and creates then, so local files are created by the operating system.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file":
+        local = unquote(urlparse(str(fs.makeQualified(target).toUri().toString())).path)
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError:
+        # The exception's class depends on the store; what counts is whether the file is there.
+        if not fs.exists(target):
+            raise
+        return False
+    return True
+
+
+def claimed(spark: SparkSession, folder: str) -> int:
+    """The highest number claimed in ``folder``, 0 without any. Names only are listed."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return 0
+    names = (entry.getPath().getName() for entry in fs.listStatus(target))
+    return max((int(n) for n in names if re.fullmatch(r"\d+", n)), default=0)
+
+
 class Registry:
-    """Registry kept in tables under ``root``; meant for a single writer.
+    """Registry kept in tables under ``root``, for any number of writers.
+
+    A version is made in two steps. Its writer first claims the number, by a file that only
+    one writer can create, and then saves the model and publishes the manifest in a folder of
+    that number: no two writers ever write to the same place. A writer that fails in between
+    leaves a number that no version has. Alias moves claim their place in the order likewise.
 
     Versions and alias moves are appended and never changed, so moving an alias back
     loses nothing.
@@ -91,12 +138,25 @@ class Registry:
 
     def _table(self, name: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            rows = self.spark.read.schema(schema).option("recursiveFileLookup", True)
+            return rows.parquet(f"{self.root}/{name}")
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _claim(self, name: str, last: int) -> int:
+        """The first free number after ``last`` and after all claims, now this writer's."""
+        folder = f"{self.root}/claims/{name}"
+        number = max(last, claimed(self.spark, folder)) + 1
+        while not put_if_absent(self.spark, f"{folder}/{number}"):
+            number += 1
+        return number
+
+    def _publish(self, name: str, number: int, row: tuple, schema: str) -> None:
+        rows = self.spark.createDataFrame([row], schema).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/{number}")
+
     @property
     def versions_table(self) -> DataFrame:
         return self._table("model_versions", VERSION_SCHEMA)
@@ -106,9 +166,9 @@ class Registry:
         return self._table("alias_events", ALIAS_SCHEMA)
 
     def register(self, model, params: dict, metrics: dict, dataset_hash: str) -> str:
-        """Save the model, append its manifest and return the new version's name."""
+        """Claim a version, save the model, publish its manifest and return the version's name."""
         last = self.versions_table.agg(F.max("version")).first()[0] or 0
-        number = last + 1
+        number = self._claim("model_versions", last)
         model.write().save(f"{self.root}/models/v{number}")
         row = (
             number,
@@ -117,9 +177,7 @@ class Registry:
             dataset_hash,
             datetime.now(timezone.utc),
         )
-        self.spark.createDataFrame([row], VERSION_SCHEMA).write.mode("append").parquet(
-            f"{self.root}/model_versions"
-        )
+        self._publish("model_versions", number, row, VERSION_SCHEMA)
         return f"v{number}"
 
     def versions(self) -> list[str]:
@@ -129,7 +187,7 @@ class Registry:
         number = int(version[1:]) if version[1:].isdigit() else -1
         row = self.versions_table.where(F.col("version") == number).first()
         if row is None:
-            raise KeyError(f"version inconnue : {version}")
+            raise KeyError(f"the registry has no version {version}")
         return row
 
     def load_model(self, version: str, loader):
@@ -139,13 +197,12 @@ class Registry:
 
     def promote(self, version: str, stage: str) -> None:
         if stage not in STAGES:
-            raise ValueError(f"stage inconnu : {stage}")
+            raise ValueError(f"{stage} is not one of {STAGES}")
         self.manifest(version)
         last = self.alias_events.agg(F.max("seq")).first()[0] or 0
-        row = (stage, int(version[1:]), last + 1, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], ALIAS_SCHEMA).write.mode("append").parquet(
-            f"{self.root}/alias_events"
-        )
+        seq = self._claim("alias_events", last)
+        row = (stage, int(version[1:]), seq, datetime.now(timezone.utc))
+        self._publish("alias_events", seq, row, ALIAS_SCHEMA)
 
     def stage_of(self, stage: str) -> str | None:
         row = current_aliases(self.alias_events).where(F.col("stage") == stage).first()
