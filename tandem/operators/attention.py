@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.binding import computed
-from ..plans.skew import lookup
+from ..plans.skew import heavy_keys, lookup, salted_join
 from ..plans.staging import stage_table
 
 # Positions per block: the most rows any array of the attention join holds.
@@ -58,23 +58,55 @@ def _project(w_query, w_key, w_value):
 def _block_attention(seq: str):
     """Attention of one block of queries over one block of keys, not yet normalised."""
 
+    def frame(sid, block, pos, top, z, acc):
+        n = len(top)
+        return pd.DataFrame({seq: [sid] * n, "_p": pos, "_m": top, "_z": z, "_acc": list(acc)})
+
     def run(batches):
+        held = None
         for pdf in batches:
-            out = []
-            for sid, pos, q, k, v in zip(
-                pdf[seq], pdf["_pos"], pdf["_q"], pdf["_k"], pdf["_v"]
+            for sid, block, pos, q, k, v in zip(
+                pdf[seq], pdf["_b"], pdf["_pos"], pdf["_q"], pdf["_k"], pdf["_v"]
             ):
                 qm, km, vm = (np.stack(list(m)) for m in (q, k, v))
                 s = qm @ km.T / np.sqrt(qm.shape[1])
                 top = s.max(axis=1)
                 e = np.exp(s - top[:, None])
-                acc = e @ vm
-                out += list(zip([sid] * len(top), pos, top, e.sum(axis=1), acc))
-            yield pd.DataFrame(out, columns=[seq, "_p", "_m", "_z", "_acc"])
+                z, acc = e.sum(axis=1), e @ vm
+                # A join gives the pairs of a query block one after another: they are merged here.
+                if held is not None and held[:2] == (sid, block):
+                    _, _, _, top0, z0, acc0 = held
+                    new = np.maximum(top0, top)
+                    a, b = np.exp(top0 - new), np.exp(top - new)
+                    top, z, acc = new, z0 * a + z * b, acc0 * a[:, None] + acc * b[:, None]
+                elif held is not None:
+                    yield frame(*held)
+                held = (sid, block, pos, top, z, acc)
+        if held is not None:
+            yield frame(*held)
 
     return run
 
 
+# Sequences of fewer blocks have too few pairs to be worth splitting.
+SPLIT_BLOCKS = 32
+
+
+def block_pairs(blocks: DataFrame, seq: str) -> DataFrame:
+    """Each block of queries beside each block of keys of its sequence.
+
+    A long sequence has as many pairs as the square of its blocks: one that owns a share of
+    all pairs is split by its query blocks.
+    """
+    queries = blocks.select(seq, "_b", F.col("_r.p").alias("_pos"), F.col("_r.q").alias("_q"))
+    keys = blocks.select(seq, F.col("_r.k").alias("_k"), F.col("_r.v").alias("_v"))
+    long = (
+        blocks.groupBy(seq).agg(F.count("*").alias("_n")).where(F.col("_n") >= SPLIT_BLOCKS)
+        .select(seq, (F.col("_n") * F.col("_n")).alias("_n"))
+    )
+    return salted_join(queries, keys, seq, heavy_keys(long, seq, "_n"), F.col("_b"))
+
+
 def self_attention(
     df: DataFrame, seq: str, pos: str, vector: str, w_query, w_key, w_value
 ) -> DataFrame:
@@ -97,11 +129,9 @@ def self_attention(
         ),
         "attention-blocks",
     )
-    queries = blocks.select(seq, F.col("_r.p").alias("_pos"), F.col("_r.q").alias("_q"))
-    keys = blocks.select(seq, F.col("_r.k").alias("_k"), F.col("_r.v").alias("_v"))
     seq_type = df.schema[seq].dataType.simpleString()
     pos_type = df.schema[pos].dataType.simpleString()
-    parts = queries.join(keys, seq).mapInPandas(
+    parts = block_pairs(blocks, seq).mapInPandas(
         _block_attention(seq),
         f"{seq} {seq_type}, _p {pos_type}, _m double, _z double, _acc array<double>",
     )

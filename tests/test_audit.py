@@ -326,9 +326,10 @@ def test_group_softmax(spark, monkeypatch, limit):
     assert [got[i] for i in range(5)] == pytest.approx([*e, 1 / 3, 1 / 3, 1 / 3])
 
 
-@pytest.mark.parametrize("block", [128, 3])
-def test_self_attention_equals_numpy(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,split", [(128, 32), (3, 32), (3, 2)])
+def test_self_attention_equals_numpy(spark, monkeypatch, block, split):
     monkeypatch.setattr(at, "BLOCK", block)
+    monkeypatch.setattr(at, "SPLIT_BLOCKS", split)
     rng = np.random.default_rng(2)
     seqs = {0: rng.normal(size=(10, 4)), 1: rng.normal(size=(1, 4)), 2: rng.normal(size=(4, 4)) * 30}
     w = [rng.normal(size=(4, 4)) for _ in range(3)]
@@ -345,6 +346,23 @@ def test_self_attention_equals_numpy(spark, monkeypatch, block):
             assert got[s, p] == pytest.approx(want[p].tolist(), abs=1e-9)
 
 
+def test_a_long_sequence_is_split_over_tasks(spark):
+    part = [(0, b, [(b, [1.0], [1.0], [1.0])]) for b in range(64)] + [(s, 0, [(0, [1.0], [1.0], [1.0])]) for s in (1, 2)]
+    record = "array<struct<p:int,q:array<double>,k:array<double>,v:array<double>>>"
+    blocks = spark.createDataFrame(part, f"s int, _b int, _r {record}")
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in zip(names, ("false", "-1", "8")):
+            spark.conf.set(n, v)
+        pairs = at.block_pairs(blocks, "s").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    sizes = [r["count"] for r in pairs]
+    assert sum(sizes) == 64 * 64 + 2 and max(sizes) < 64 * 64 / 3
+
+
 def test_vocabulary_ids_are_dense(spark):
     df = spark.createDataFrame([(0, "un deux, un !"), (1, ""), (2, "deux trois")], "doc_id int, text string")
     got = {r.doc_id: r for r in tk.encode(df, "doc_id").collect()}
