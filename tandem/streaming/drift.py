@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.drift import BINS, NO_REFERENCE, bin_of, psi_of_counts, status
-from .scoring import served, write_batch
+from .scoring import served, _write_batch
 
 DAY_MS = 86_400_000
 
@@ -186,8 +186,8 @@ def report_available(outcomes: DataFrame, out: str, checkpoint: str) -> None:
         rows.persist()
         try:
             closed = F.col("kind") == CLOSED
-            write_batch(rows.where(closed).drop("kind"), f"{out}/reports", number)
-            write_batch(rows.where(~closed).select("kind", "day", "feature", "n"), f"{out}/late", number)
+            _write_batch(rows.where(closed).drop("kind"), f"{out}/reports", number)
+            _write_batch(rows.where(~closed).select("kind", "day", "feature", "n"), f"{out}/late", number)
         finally:
             rows.unpersist()
 
