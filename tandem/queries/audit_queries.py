@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from datetime import date, timedelta
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import drift as dr
@@ -11,11 +14,12 @@ from ..operators import matching as mc
 from ..operators import metrics as mt
 from ..operators import registry as rg
 from ..operators.attention import group_softmax, self_attention
+from ..operators.days import DayStore
 from ..plans.staging import scratch_path, stage_table
 from ..sources.tables import documents, spread, table
 from ..streaming.drift import day_outcomes, day_window, report_available, reports, window_bin_counts
 from ..streaming.scoring import run_available
-from .base import LABELLED_SQL, LISTED_SQL, MATCH_CTE, NOT_WORD, labelled, query, r6, sql_collapse
+from .base import LABELLED_SQL, LISTED_SQL, MATCH_CTE, NOT_WORD, ORACLES, labelled, query, r6, sql_collapse
 from .match_queries import scored_pairs
 from .privacy_queries import LEAKS_SQL
 
@@ -306,6 +310,48 @@ def drift_stream(spark, sf):
     return spark.read.schema("day string, feature string, bin int, c long").parquet(out)
 
 
+def day_store(spark, sf):
+    """All events in a store of days."""
+    ref, prod = drift_samples(spark, sf)
+    store = DayStore(spark, scratch_path(spark, "day-store"))
+    store.add(ref.unionByName(prod).withColumn("day", day_window(F.col("ts"))))
+    return store
+
+
+#: Ranges of days, both ends included.
+RANGES = (("2024-01-01", "2024-01-10"), ("2024-01-08", "2024-01-21"), ("2024-01-30", "2024-01-30"))
+
+
+@query(
+    "edges_of_days",
+    f"""WITH {EVENTS_CTE}, every AS (SELECT * FROM refs UNION ALL SELECT * FROM prod),
+    ranges AS (SELECT unnest({[r[0] for r in RANGES]}) AS first_day, unnest({[r[1] for r in RANGES]}) AS last_day),
+    cut AS (SELECT first_day, last_day, feature, count(value) AS n,
+        quantile_cont(value, [{', '.join(str(i / 10) for i in range(1, 10))}]) AS e
+      FROM every JOIN ranges ON strftime(ts, '%Y-%m-%d') BETWEEN first_day AND last_day GROUP BY ALL)
+    SELECT first_day, last_day, feature, n, i::INT AS i, round(e[i + 1], 6) AS edge
+    FROM (SELECT *, unnest(range(0, 9)) AS i FROM cut)""",
+)
+def edges_of_days(spark, sf):
+    """Quantile edges of ranges of days, from a store that reads each day once."""
+    store = day_store(spark, sf)
+    parts = [
+        store.edges(*days).select(
+            F.lit(days[0]).alias("first_day"), F.lit(days[1]).alias("last_day"), "feature", "n",
+            F.posexplode("edges").alias("i", "edge"),
+        )
+        for days in RANGES
+    ]
+    return reduce(DataFrame.unionByName, parts).withColumn("edge", r6("edge"))
+
+
+@query("drift_of_days", ORACLES["drift_by_window"])
+def drift_of_days(spark, sf):
+    """The daily report from a store of days: production against all days before the cut."""
+    last = (date.fromisoformat(CUT) - timedelta(days=1)).isoformat()
+    report = day_store(spark, sf).report((None, last), (CUT, None), by_day=True)
+    return report.select("day", "feature", r6("psi"), "status")
+
 @query(
     "drift_day_reports",
     f"""WITH {EVENTS_CTE},
