@@ -7,7 +7,7 @@ import warnings
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..plans.staging import stage_table
 from . import metrics as mt
-from . import newton
+from . import network, newton
 
 # Labelled rows that the text models are fitted on; the vocabulary, which the driver
 # holds, is bounded with them and is never cut.
@@ -320,24 +320,15 @@ def audit(
     return impact.unionByName(f1).select(F.lit(name).alias("model"), "metric", "value")
 
 
-def fit_network(df: DataFrame, features: str, label: str, n_features: int, seed: int = 42, epochs: int = 300):
-    """Small dense network, two hidden layers, on the same vectors as the linear model."""
-    data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
-    return MultilayerPerceptronClassifier(
-        layers=[n_features, 16, 8, 2], maxIter=epochs, seed=seed, tol=1e-6,
-        featuresCol="features", labelCol="label",
-    ).fit(data)
-
-
 def compare_models(
     df: DataFrame, row_id: str, text: str, label: str, min_df: float = 1.0, seed: int = 42,
-    max_iter: int = 1000,
+    max_iter: int = 1000, epochs: int = 60,
 ) -> DataFrame:
-    """Probabilities of the linear model and the network, side by side per row."""
+    """Probabilities of the linear model and the network, side by side per row, both on the
+    same sparse vectors."""
     linear = TextClassifier(min_df=min_df, max_iter=max_iter).fit(df, text, label)
     vec = stage_table(linear.vectorize(df, text).select(row_id, label, text, "features"), "vectors")
     width = len(linear.vectorizer.stages[0].vocabulary)
-    network = fit_network(training_sample(vec, text), "features", label, width, seed, min(max_iter, 300))
-    a = linear.model.transform(vec).select(row_id, label, "features", positive().alias("p_linear"))
-    out = network.transform(a).select(row_id, label, "p_linear", positive().alias("p_network"))
-    return out
+    deep = network.fit(training_sample(vec, text), "features", label, width, seed, epochs)
+    both = linear.model.transform(vec).select(row_id, label, positive().alias("p_linear"), "features")
+    return deep.predict(both, "features", "p_network")
