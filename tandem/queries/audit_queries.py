@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as dr
 from ..operators import gates as gt
+from ..operators import hashtree as ht
 from ..operators import matching as mc
 from ..operators import metrics as mt
 from ..operators import registry as rg
@@ -469,6 +470,42 @@ _FINGERPRINT_SQL = f"""(SELECT n AS n_rows,
 def dataset_fingerprint(spark, sf):
     return rg.fingerprint(table(spark, sf, "labels"), "doc_id", ["quality", "toxic"])
 
+# ---- changes between two versions ------------------------------------------------------------
+
+REVISED = "o_orderkey % 499 = 0"
+DROPPED = "o_orderkey % 997 = 1"
+CHANGE_WIDTH = 64
+
+
+def order_versions(spark, sf):
+    """Orders, and a later version of them: some prices corrected, some orders taken out."""
+    before = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    price = F.when(F.expr(REVISED), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return before, before.where(~F.expr(DROPPED)).withColumn("o_totalprice", price)
+
+
+@query(
+    "dataset_changes",
+    f"""SELECT key_range * {CHANGE_WIDTH} AS first_key, key_range * {CHANGE_WIDTH} + {CHANGE_WIDTH - 1} AS last_key,
+      n_before, n_after, n_revised, n_dropped
+    FROM (SELECT o_orderkey // {CHANGE_WIDTH} AS key_range, count(*) AS n_before,
+        count(*) FILTER (NOT {DROPPED}) AS n_after, count(*) FILTER ({REVISED} AND NOT {DROPPED}) AS n_revised,
+        count(*) FILTER ({DROPPED}) AS n_dropped
+      FROM orders GROUP BY ALL) WHERE n_revised + n_dropped > 0""",
+)
+def dataset_changes(spark, sf):
+    """Ranges of order keys that differ between the versions, found by their trees, and how
+    many keys of each range were revised or dropped, from rows of these ranges only."""
+    versions, columns = order_versions(spark, sf), ["o_custkey", "o_orderstatus", "o_totalprice"]
+    before, after = [ht.build(v, "o_orderkey", columns, CHANGE_WIDTH) for v in versions]
+    ranges = ht.changed_ranges(before, after, CHANGE_WIDTH)
+    keys = ht.changed_keys(*versions, "o_orderkey", columns, ranges, CHANGE_WIDTH)
+    changes = keys.groupBy(ht.range_of(F.col("o_orderkey"), CHANGE_WIDTH).alias("node")).agg(
+        F.count_if(F.col("change") == "changed").alias("n_revised"),
+        F.count_if(F.col("change") == "removed").alias("n_dropped"),
+    )
+    return ranges.join(changes, "node").drop("node")
+
 
 N_VERSIONS = 12
 STEP = 250
