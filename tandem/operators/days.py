@@ -12,11 +12,13 @@ candidate points from the merged sketches, and two of them with the exact counts
 rank bracket it, whatever the error of the sketch; only values inside the bracket are read.
 
 Nulls, NaN and rows without a day or a feature are left out. A day that is added again replaces
-what the store had of it; a day of which nothing is given stays.
+what the store had of it; a day of which nothing is given stays. Files of replaced or failed
+additions stay in folders of their run, which nothing reads.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -38,10 +40,11 @@ WINDOW_VALUES = 1 << 20
 SCAN_RANGES = 256
 
 _TABLES = {
-    "sketches": "feature string, n long, lo double, hi double, sketch binary, day string",
-    "pages": "feature string, page int, n long, lo double, hi double, day string",
-    "values": "feature string, page int, v double, n long, day string",
+    "sketches": "feature string, n long, lo double, hi double, sketch binary, run string, day string",
+    "pages": "feature string, page int, n long, lo double, hi double, day string, run string",
+    "values": "feature string, page int, v double, n long, day string, run string",
 }
+_FOLDERS = {"sketches": ["day"], "pages": ["day", "run"], "values": ["day", "run"]}
 
 
 def _small(df: DataFrame, name: str) -> DataFrame:
@@ -96,12 +99,18 @@ class DayStore:
         pages = values.groupBy("day", "feature", "page").agg(
             F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
         )
-        # Sketches come last: a day without one is not in the store.
-        for name, table in (("values", values), ("pages", pages.coalesce(8)), ("sketches", sketches)):
-            columns = [c.split()[0] for c in _TABLES[name].split(", ")]
-            table.select(*columns).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy("day").parquet(f"{self.path}/{name}")
+        # Readers follow the run that a day's sketches name, and these come last: a day is read
+        # whole, as it was or as it now is, also if this fails on the way.
+        run = uuid.uuid4().hex
+        self._write("values", values.withColumn("run", F.lit(run)), "append")
+        self._write("pages", pages.coalesce(8).withColumn("run", F.lit(run)), "append")
+        self._write("sketches", sketches.withColumn("run", F.lit(run)), "overwrite")
+
+    def _write(self, name: str, table: DataFrame, mode: str) -> None:
+        columns = [c.split()[0] for c in _TABLES[name].split(", ")]
+        table.select(*columns).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+            *_FOLDERS[name]
+        ).parquet(f"{self.path}/{name}")
 
     # ---- reading ---------------------------------------------------------------------
 
@@ -115,7 +124,13 @@ class DayStore:
             return self.spark.createDataFrame([], _TABLES[name])
         if first is not None:
             df = df.where(F.col("day") >= first)
-        return df if last is None else df.where(F.col("day") <= last)
+        if last is not None:
+            df = df.where(F.col("day") <= last)
+        if name == "sketches":
+            return df
+        # One row a day; it prunes the folders of other runs.
+        runs = self.table("sketches", first, last).select("day", "run").distinct()
+        return df.join(F.broadcast(runs), ["day", "run"]).drop("run")
 
     def counts_below(
         self, points: DataFrame, first: str | None = None, last: str | None = None, by_day: bool = False
@@ -148,9 +163,13 @@ class DayStore:
         few = ranges.select("feature", "a", "z").limit(SCAN_RANGES + 1).collect()
         if not few or len(few) > SCAN_RANGES:
             return values
-        within = [
-            (F.col("feature") == r["feature"]) & (F.col("v") >= r["a"]) & (F.col("v") <= r["z"]) for r in few
-        ]
+        merged: list[list] = []
+        for feature, a, z in sorted(map(tuple, few)):
+            if merged and merged[-1][0] == feature and a <= merged[-1][2]:
+                merged[-1][2] = max(z, merged[-1][2])
+            else:
+                merged.append([feature, a, z])
+        within = [(F.col("feature") == f) & (F.col("v") >= a) & (F.col("v") <= z) for f, a, z in merged]
         return values.where(reduce(Column.__or__, within))
 
     def edges(self, first: str | None = None, last: str | None = None, bins: int = dr.BINS) -> DataFrame:

@@ -211,7 +211,7 @@ class Registry:
     def production_model(self, loader):
         version = self.stage_of("production")
         if version is None:
-            raise LookupError("aucun modèle en production")
+            raise LookupError("no version is in production")
         return self.load_model(version, loader)
 
     def report(self) -> DataFrame:

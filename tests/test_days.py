@@ -99,10 +99,33 @@ def test_a_day_added_again_replaces_itself(spark, tmp_path):
     assert {(r.day, r.v, r.n) for r in store.table("values").collect()} == {("2024-01-01", 7.0, 3), ("2024-01-02", 2.0, 3)}
 
 
+def test_a_failed_addition_changes_nothing(spark, tmp_path, monkeypatch):
+    store = dy.DayStore(spark, str(tmp_path / "s"))
+    rows = lambda day, v: spark.createDataFrame([(day, "f", v)] * 2, "day string, feature string, value double")
+    store.add(rows("2024-01-01", 1.0))
+    write = dy.DayStore._write
+
+    def fails(self, name, *rest):
+        if name == "sketches":
+            raise OSError("lost")
+        write(self, name, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(dy.DayStore, "_write", fails)
+        for day in ("2024-01-01", "2024-01-02"):
+            with pytest.raises(OSError):
+                store.add(rows(day, 5.0))
+    points = spark.createDataFrame([("f", 9.0)], "feature string, x double")
+    assert [r.below for r in store.counts_below(points).collect()] == [2]
+    store.add(rows("2024-01-01", 5.0))
+    assert [tuple(r) for r in store.table("values").select("v", "n").collect()] == [(5.0, 2)]
+
+
 def test_closed_days_are_not_read_again(store):
     """A range of days reads its own partitions, and values only near the points."""
     near = store._between(store.spark.createDataFrame([("few", 1.0, 1.0)], "feature string, a double, z double"), DAYS[1], DAYS[2])
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "PushedFilters: [Or" in plan or "GreaterThanOrEqual(v,1.0)" in plan
     assert near.where(F.col("feature") != "few").count() == 0
+    assert "dynamicpruning" in plan
     assert {r.day for r in near.select("day").distinct().collect()} == {DAYS[1], DAYS[2]}
