@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.drift import BINS, NO_REFERENCE, bin_of, psi_of_counts, status
 from .scoring import served, _write_batch
+from .state import state_on_disk
 
 DAY_MS = 86_400_000
 
@@ -25,8 +25,6 @@ _NO_DAY = -(1 << 40)
 _PARTIAL = "day long, feature string, bin int, c long, at timestamp"
 _OUTCOME = "kind string, day long, feature string, n long, counts array<long>"
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def day_window(ts: Column) -> Column:
@@ -164,17 +162,6 @@ def day_outcomes(
     )
 
 
-@contextmanager
-def _rocksdb(spark: SparkSession):
-    """Timers need a state store of this kind; a query keeps the one that it was started with."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
-
-
 def report_available(outcomes: DataFrame, out: str, checkpoint: str) -> None:
     """Take in what has arrived and stop: ``out``/reports and, aside, ``out``/late.
 
@@ -191,7 +178,7 @@ def report_available(outcomes: DataFrame, out: str, checkpoint: str) -> None:
         finally:
             rows.unpersist()
 
-    with _rocksdb(outcomes.sparkSession):
+    with state_on_disk(outcomes.sparkSession):
         query = (
             outcomes.writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint)
