@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..plans.sizing import fits_broadcast
-from ..plans.skew import heavy_keys, lookup, salted_join
+from ..plans.skew import frequent_lookup, heavy_keys, salted_join
 from ..plans.staging import stage_table
 
 
@@ -48,12 +48,23 @@ def term_counts(df: DataFrame, doc: str, text: str = "text", terms=tx.tokens) ->
 
 
 def weigh(counts: DataFrame, idf: DataFrame, doc: str) -> DataFrame:
-    """L2-normalised TF-IDF weights of term counts. Unknown terms drop out."""
-    raw = lookup(counts, idf, "term", F.col(doc), idf, "df").withColumn(
-        "_w", F.col("tf") * F.col("idf")
-    )
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))
-    return raw.withColumn("_norm", norm).select(
+    """L2-normalised TF-IDF weights of term counts. Unknown terms drop out.
+
+    With the idf of all terms broadcast, counts stay where their document is. Otherwise the
+    counts that met their idf are staged, and the norms come to them.
+    """
+    w = (F.col("tf") * F.col("idf")).alias("_w")
+    square = F.sum(F.col("_w") * F.col("_w"))
+    raw = frequent_lookup(counts, idf, "term", F.col(doc), "df").select(doc, "term", "tf", w)
+    normed = None
+    if not fits_broadcast(idf):
+        raw = stage_table(raw, "raw-weights")
+        norms = stage_table(raw.groupBy(F.col(doc).alias("_doc")).agg(F.sqrt(square).alias("_norm")), "norms")
+        if fits_broadcast(norms):
+            normed = raw.join(F.broadcast(norms), F.col(doc).eqNullSafe(F.col("_doc")))
+    if normed is None:
+        normed = raw.withColumn("_norm", F.sqrt(square.over(Window.partitionBy(doc))))
+    return normed.select(
         doc,
         "term",
         "tf",
@@ -209,8 +220,11 @@ def source_blocks(
 ) -> DataFrame:
     """Numbered source blocks of each query, in rank order, as one string.
 
-    A query has at most k ranked documents, so the gathered arrays are that short.
+    A query has at most k ranked documents, so the gathered arrays are that short. Few ranked
+    rows go to the documents, whose texts then stay where they are.
     """
+    ranked = stage_table(ranked, "ranked")
+    ranked = F.broadcast(ranked) if fits_broadcast(ranked) else ranked
     block = F.concat(
         F.lit("["), F.col("rank").cast("string"), F.lit("] ("),
         F.col(doc).cast("string"), F.lit(") "), F.col(title), F.lit(" — "), F.col("text"),

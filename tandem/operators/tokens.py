@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..plans.skew import lookup
+from ..plans.skew import frequent_lookup
 from ..plans.staging import stage_table
 
 
@@ -61,7 +61,7 @@ def encode(df: DataFrame, doc: str, text: str = "text") -> DataFrame:
     exploded = df.select(doc, F.posexplode(pieces).alias("_pos", "piece"))
     vocab = vocabulary(exploded)
     ids = (
-        lookup(exploded, vocab, "piece", F.col(doc), vocab, "n")
+        frequent_lookup(exploded, vocab, "piece", F.col(doc), "n")
         .groupBy(doc)
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "id"))).alias("_l"))
     )

@@ -13,6 +13,8 @@ from .sizing import BROADCAST_ROWS, fits_broadcast
 LEAST_SHARES = 256
 # A heavy key is split into at least so many parts, and into one for every share it owns.
 LEAST_SALTS = 32
+# Keys of a table too large to be broadcast that are broadcast all the same: the most frequent.
+FREQUENT_KEYS = 500_000
 
 
 def shares(spark: SparkSession) -> int:
@@ -75,3 +77,22 @@ def lookup(
     if fits_broadcast(table, max_rows):
         return rows.join(F.broadcast(table), key, how)
     return salted_join(rows, table, key, heavy_keys(counts, key, n), spread, how)
+
+
+def frequent_lookup(rows: DataFrame, table: DataFrame, key: str, spread: Column, n: str) -> DataFrame:
+    """Attach ``table`` (one row per key, staged, with the number ``n`` of its rows) to ``rows``.
+
+    Of a table too large to be broadcast, the most frequent keys are, so that only rows of
+    rare keys move. ``rows`` are made once for either kind.
+    """
+    if fits_broadcast(table):
+        return rows.join(F.broadcast(table), key)
+    share = FREQUENT_KEYS / max(table.count(), 1)
+    least = -1 if share >= 1 else table.agg(F.percentile_approx(n, 1 - share, 10_000)).first()[0]
+    common = table.where(F.col(n) > least)
+    if not fits_broadcast(common):
+        return salted_join(rows, table, key, heavy_keys(table, key, n), spread)
+    found = rows.join(F.broadcast(common), key)
+    # No rare key is heavy: half a million others are at least as frequent.
+    rest = rows.join(F.broadcast(common.select(key)), key, "left_anti").join(table.where(F.col(n) <= least), key)
+    return found.unionByName(rest)

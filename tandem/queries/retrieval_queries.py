@@ -110,7 +110,8 @@ def gold(spark, sf, df):
     )
     anchor = stage_table(anchor, "anchors")
     anchor = F.broadcast(anchor) if fits_broadcast(anchor) else anchor
-    candidates = tokens.join(anchor, "term").select("doc_id", "query_id", "query")
+    candidates = stage_table(tokens.join(anchor, "term").select("doc_id", "query_id", "query"), "candidates")
+    candidates = F.broadcast(candidates) if fits_broadcast(candidates) else candidates
     holds = F.contains("text", "query")
     long = candidates.join(docs, "doc_id").where(holds)
     short = q.where(F.coalesce(F.size("_t"), F.lit(0)) <= 2).select("query_id", "query")

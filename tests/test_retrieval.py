@@ -150,3 +150,31 @@ def test_idf_formula(docs):
 def test_token_classes(spark):
     df = spark.createDataFrame([("L'Été à_b C++ x1 é",)], "t string")
     assert df.select(tx.tokens(F.col("t"))).first()[0] == ["été", "à_b", "x1"]
+
+
+def test_frequent_terms_stay_and_rare_ones_move(docs, queries, monkeypatch):
+    from tandem.plans import skew
+
+    want = sorted(map(tuple, rt.build_index(docs, "doc_id", "text").postings.collect()))
+    # Only the idf of all terms is too large; that of the most frequent three is not.
+    small = lambda t, *a: "idf" not in t.columns or t.count() <= 3
+    monkeypatch.setattr(rt, "fits_broadcast", small)
+    monkeypatch.setattr(skew, "fits_broadcast", small)
+    monkeypatch.setattr(skew, "FREQUENT_KEYS", 3)
+    met = []
+    monkeypatch.setattr(skew, "salted_join", lambda *a: met.append(a))
+    got = sorted(map(tuple, rt.build_index(docs, "doc_id", "text").postings.collect()))
+    assert not met and len(got) == len(want) > 3
+    for (d, t, n, w), (d2, t2, n2, w2) in zip(got, want):
+        assert (d, t, n) == (d2, t2, n2) and abs(w - w2) < 1e-12
+
+
+def test_frequent_lookup_drops_and_keeps_as_a_join(spark, monkeypatch):
+    from tandem.plans import skew
+
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate("aaaabbbcdd") ] + [(98, None), (99, "z")], "i int, k string")
+    table = spark.createDataFrame([("a", 4, 1), ("b", 3, 2), ("c", 1, 3), ("d", 2, 4), ("e", 0, 5)], "k string, n int, v int")
+    want = sorted(map(tuple, rows.join(table, "k").collect()))
+    monkeypatch.setattr(skew, "fits_broadcast", lambda t, *a: t.count() <= 2)
+    monkeypatch.setattr(skew, "FREQUENT_KEYS", 2)
+    assert sorted(map(tuple, skew.frequent_lookup(rows, table, "k", F.col("i"), "n").collect())) == want
