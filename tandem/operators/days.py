@@ -57,6 +57,18 @@ def _key() -> Column:
     return F.concat_ws("\n", "day", "feature")
 
 
+def _with_page(df: DataFrame) -> DataFrame:
+    """Add ``page``: how many of the ascending ``cuts``, fewer than ``PAGES``, are at most ``v``.
+
+    A column for each halving: every step reads the one before twice, so none is inlined.
+    """
+    df = df.withColumn("page", F.lit(0))
+    for step in [1 << b for b in reversed(range((PAGES - 1).bit_length()))]:
+        beyond = F.coalesce(F.get("cuts", F.col("page") + (step - 1)) <= F.col("v"), F.lit(False))
+        df = df.withColumn("page", F.col("page") + F.when(beyond, step).otherwise(0))
+    return df
+
+
 class DayStore:
     """A store of days under ``path``. One writer at a time adds days."""
 
@@ -92,17 +104,16 @@ class DayStore:
         counts = stage_table(counts.withColumn("key", _key()), "day_counts")
         cuts = stage_table(cuts.select(_key().alias("key"), "cuts"), "day_cuts")
         joined = lookup(counts, cuts, "key", F.col("v"), counts.groupBy("key").agg(F.count("*").alias("c")), "c")
-        page = F.size(F.filter("cuts", lambda c: c <= F.col("v")))
-        values = joined.select("feature", page.alias("page"), "v", "n", "day")
+        values = _with_page(joined).select("feature", "page", "v", "n", "day")
         values = values.repartitionByRange("day", "feature", "v").sortWithinPartitions("day", "feature", "v")
-        values = stage_table(values, "day_values")
-        pages = values.groupBy("day", "feature", "page").agg(
-            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        )
         # Readers follow the run that a day's sketches name, and these come last: a day is read
         # whole, as it was or as it now is, also if this fails on the way.
         run = uuid.uuid4().hex
         self._write("values", values.withColumn("run", F.lit(run)), "append")
+        written = self.spark.read.schema(_TABLES["values"]).parquet(f"{self.path}/values").where(F.col("run") == run)
+        pages = written.groupBy("day", "feature", "page").agg(
+            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        )
         self._write("pages", pages.coalesce(8).withColumn("run", F.lit(run)), "append")
         self._write("sketches", sketches.withColumn("run", F.lit(run)), "overwrite")
 

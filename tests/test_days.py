@@ -129,3 +129,18 @@ def test_closed_days_are_not_read_again(store):
     assert near.where(F.col("feature") != "few").count() == 0
     assert "dynamicpruning" in plan
     assert {r.day for r in near.select("day").distinct().collect()} == {DAYS[1], DAYS[2]}
+
+
+def test_pages_are_found_by_halving(spark):
+    cuts = [[], [2.0], [-math.inf, 0.0, 1.5, math.inf], [float(i) for i in range(dy.PAGES - 1)]]
+    rows = [(c, v) for c in cuts for v in (-math.inf, -1.0, 0.0, 1.5, 2.0, 126.5, 254.0, 300.0, math.inf)]
+    df = dy._with_page(spark.createDataFrame(rows, "cuts array<double>, v double"))
+    assert [r.page for r in df.collect()] == [sum(c <= v for c in cs) for cs, v in rows]
+    assert "lambda" not in df._jdf.queryExecution().toString()
+
+
+def test_values_of_a_day_are_written_once(spark, tmp_path, monkeypatch):
+    staged, stage = [], dy.stage_table
+    monkeypatch.setattr(dy, "stage_table", lambda df, name: staged.append(name) or stage(df, name))
+    dy.DayStore(spark, str(tmp_path)).add(long(spark, [0]))
+    assert staged and "day_values" not in staged
