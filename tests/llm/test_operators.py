@@ -211,6 +211,17 @@ def test_scores_do_not_depend_on_how_contexts_are_split(spark, docs, monkeypatch
     assert max(abs(got[i] / want[i] - 1) for i in want) < 0.05
 
 
+def test_scores_do_not_depend_on_the_size_of_the_word_table(spark, docs, monkeypatch):
+    """Words outside the table have their exact counts too, in contexts whole and split."""
+    for tokens in (ngram_lm.SHARD_TOKENS, 20_000):
+        monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", tokens)
+        want = {r.doc_id: r.score for r in ngram_lm.lm_scores(docs).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(ngram_lm, "FREQUENT_BITS", 10)
+            got = {r.doc_id: r.score for r in ngram_lm.lm_scores(docs).collect()}
+        assert got == pytest.approx(want, rel=1e-6)
+
+
 def test_copied_examples_and_live_secrets(spark):
     key = "ghp_" + "a1B2c3D4e5F6g7H8i9J0" * 2
     copied = "ghp_" + "zZ9yY8xX7wW6vV5uU4tT" * 2
