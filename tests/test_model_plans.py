@@ -37,3 +37,17 @@ def test_the_norm_of_a_vector_is_added_up_once(spark):
     made = [line for line in said.getvalue().splitlines() if "AS features" in line]
     assert made and not any("aggregate(" in line for line in made)
     assert all(abs(sum(v * v for v in r.features["values"]) - 1) < 1e-12 for r in out.collect())
+
+
+def test_models_are_trained_on_all_rows(spark, monkeypatch):
+    """A sample of rows would lack the words that only the others have."""
+    real, trained = ml.training_sample, []
+    monkeypatch.setattr(ml, "training_sample", lambda df, text, *_: real(df, text, 10))
+    fit = ml.network.fit
+    monkeypatch.setattr(ml.network, "fit", lambda df, *a: trained.append(df.count()) or fit(df, *a))
+    rows = [(i, f"{'good' if i % 2 else 'bad'} own{i}", bool(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "i long, text string, y boolean")
+    for model, pairs in ((ml.WordModel(), 0), (ml.TextClassifier(), 60)):
+        assert model.fit(df, "text", "y").terms.count() == 62 + pairs
+    assert ml.compare_models(df, "i", "text", "y", epochs=1).count() == 60
+    assert trained == [60]
