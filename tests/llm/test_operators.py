@@ -211,6 +211,14 @@ def test_scores_do_not_depend_on_how_contexts_are_split(spark, docs, monkeypatch
     assert max(abs(got[i] / want[i] - 1) for i in want) < 0.05
 
 
+def test_successors_of_split_contexts_are_counted_exactly(spark, docs, monkeypatch):
+    want = {r.doc_id: r.score for r in ngram_lm.lm_scores(docs).collect()}
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 20_000)
+    monkeypatch.setattr(ngram_lm, "FAN_PART", 3)
+    got = {r.doc_id: r.score for r in ngram_lm.lm_scores(docs).collect()}
+    assert got == pytest.approx(want, rel=1e-6)
+
+
 def test_scores_do_not_depend_on_the_size_of_the_word_table(spark, docs, monkeypatch):
     """Words outside the table have their exact counts too, in contexts whole and split."""
     for tokens in (ngram_lm.SHARD_TOKENS, 20_000):
